@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ringwatch.config import SLOT_EDGES
 from ringwatch.operators.enrich import fits_broadcast
-from ringwatch.session import cut, shuffle_width
+from ringwatch.session import cut, pin, shuffle_width
 
 
 def collapse(transfers: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ class TransferGraph:
             placed = self.pairs.join(small, key, "left").withColumn(
                 "slot", F.pmod(F.hash(other), F.coalesce("slots", F.lit(1)))).drop("slots")
             hot = small
-        return Layout(cut(placed.repartition(width, key, "slot")), key, hot)
+        return Layout(pin(placed.repartition(width, key, "slot")), key, hot)
 
     @cached_property
     def by_src(self) -> Layout:
@@ -102,4 +102,4 @@ class TransferGraph:
             everyone = everyone.union(self._extra.select("node")).distinct()
         filled = everyone.join(sends, "node", "left").withColumns({
             "out_w": F.coalesce("out_w", F.lit(0.0)), "out_degree": F.coalesce("out_degree", F.lit(0))})
-        return cut(filled.repartition(shuffle_width(self.spark), "node"))
+        return cut(filled)

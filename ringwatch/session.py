@@ -43,16 +43,27 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and continue from there.
+def pin(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once as a checkpoint in the shared folder, keeping its partitioning.
 
-    The result survives the loss of executors and keeps its partitioning, so later joins on
-    the same keys need no further shuffle.
+    Later joins on the same keys need no further shuffle. The size estimate of the original plan
+    is kept too, so use ``cut`` for what a loop feeds back into itself.
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and go on from there.
+
+    The plan starts anew with the true size on disk, which also decides what may be broadcast,
+    and the rows survive the loss of executors.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
