@@ -247,7 +247,8 @@ def _profile_wallets(spark, d) -> DataFrame:
 
 def _context(spark, d) -> DataFrame:
     rounded = {c: F.round(c, 6) for c in ("graph_risk_score", "structural_novelty_score")}
-    return build_context(_profile_wallets(spark, d)).withColumns(rounded)
+    wallets = _once("profile_wallets", spark, d, lambda: cut(_profile_wallets(spark, d)))
+    return build_context(wallets).withColumns(rounded)
 
 
 def wallet_context(spark, d):

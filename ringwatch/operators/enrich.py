@@ -18,11 +18,12 @@ def structural_novelty(df: DataFrame, vector: str = "embedding") -> DataFrame:
     Rows without a vector take no part in the mean or the scaling and score 0. The mean and the
     bounds are single rows, read as scalar subqueries.
     """
-    known = df.filter(F.col(vector).isNotNull() & (F.size(vector) > 0))
-    wide = F.col(vector).cast("array<double>")
-    centroid = known.agg(vector_to_array(Summarizer.mean(array_to_vector(wide))).alias("c")).scalar()
     has_vector = F.col(vector).isNotNull() & (F.size(vector) > 0)
-    measured = df.withColumn("_distance", F.when(has_vector, l2_distance(wide, centroid)))
+    wide = F.col(vector).cast("array<double>")
+    centroid = df.filter(has_vector).agg(vector_to_array(Summarizer.mean(array_to_vector(wide))).alias("c")).scalar()
+    # The mean is a column of its own first: array lambdas take no subquery.
+    measured = df.withColumn("_centroid", centroid).withColumn(
+        "_distance", F.when(has_vector, l2_distance(wide, F.col("_centroid")))).drop("_centroid")
     bounds = measured.agg(F.struct(F.min("_distance").alias("low"), F.max("_distance").alias("high"))).scalar()
     scaled = min_max(F.col("_distance"), bounds.getField("low"), bounds.getField("high"))
     return measured.withColumn(
