@@ -450,7 +450,7 @@ def _two_rounds(spark, d) -> tuple[DataFrame, DataFrame]:
         two_m = edges.agg(F.sum("w")).first()[0]
         labels = cut(lv.first_labels(edges))
         for number in range(2):
-            labels = cut(lv.move_round(edges, labels, two_m, number))
+            labels = cut(lv.move_round(edges, labels.select("node", "k", "community"), two_m, number))
         return edges, labels.select("node", "community")
     return _once("two_rounds", spark, d, make)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ringwatch.config import SLOT_EDGES
 from ringwatch.operators.enrich import fits_broadcast
+from ringwatch.operators.numbering import number_rows
 from ringwatch.session import cut, pin, shuffle_width
 
 
@@ -64,9 +65,19 @@ class TransferGraph:
     """
 
     def __init__(self, transfers: DataFrame, nodes: DataFrame | None = None, slot_edges: int = SLOT_EDGES):
-        self.spark = transfers.sparkSession
+        self._take(cut(collapse(transfers)), nodes, slot_edges)
+
+    @classmethod
+    def of_pairs(cls, pairs: DataFrame, nodes: DataFrame | None = None, slot_edges: int = SLOT_EDGES) -> TransferGraph:
+        """A graph of edges (src, dst, w, n) that are collapsed already."""
+        graph = cls.__new__(cls)
+        graph._take(cut(pairs), nodes, slot_edges)
+        return graph
+
+    def _take(self, pairs: DataFrame, nodes: DataFrame | None, slot_edges: int) -> None:
+        self.spark = pairs.sparkSession
         self.slot_edges = slot_edges
-        self.pairs = cut(collapse(transfers))
+        self.pairs = pairs
         self._extra = nodes
 
     def _layout(self, key: str, other: str) -> Layout:
@@ -103,3 +114,17 @@ class TransferGraph:
         filled = everyone.join(sends, "node", "left").withColumns({
             "out_w": F.coalesce("out_w", F.lit(0.0)), "out_degree": F.coalesce("out_degree", F.lit(0))})
         return cut(filled)
+
+    @cached_property
+    def numbers(self) -> DataFrame:
+        """(node, id): consecutive numbers in name order."""
+        return cut(number_rows(self.nodes.select("node"), "id", "node"))
+
+    @cached_property
+    def numbered(self) -> TransferGraph:
+        """The same graph between numbers; rows keyed by wallets are then a fraction of the width."""
+        a = self.numbers.select(F.col("node").alias("src"), F.col("id").alias("a"))
+        b = self.numbers.select(F.col("node").alias("dst"), F.col("id").alias("b"))
+        pairs = self.pairs.join(a, "src").join(b, "dst").select(
+            F.col("a").alias("src"), F.col("b").alias("dst"), "w", "n")
+        return TransferGraph.of_pairs(pairs, self.numbers.select(F.col("id").alias("node")), self.slot_edges)
