@@ -61,8 +61,8 @@ def build_context(wallets: DataFrame) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` is measured to have at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` is measured to have at most ``max_rows`` rows."""
+    return df.count() <= max_rows
 
 
 def enrich(rows: DataFrame, context: DataFrame, max_rows: int = BROADCAST_ROWS,

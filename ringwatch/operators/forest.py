@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,11 @@ class Forest:
     offset: float
     threshold: float = 0.0
 
+    @cached_property
+    def scorer(self):
+        """The scoring function; the trees are read once, not per batch."""
+        return scorer(self.nodes, self.config)
+
 
 def feature_rows(rows: DataFrame, features: list[str]) -> DataFrame:
     """Model inputs as doubles; a missing value counts as 0."""
@@ -174,7 +180,7 @@ def fit(rows: DataFrame, key: list[str], cfg: ForestConfig = ForestConfig()) ->
 
 def score(rows: DataFrame, forest: Forest) -> DataFrame:
     """Add ``ml_score``; lower is more anomalous and below 0 is beyond the cut-off."""
-    raw = scorer(forest.nodes, forest.config)
+    raw = forest.scorer
     inputs = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in forest.config.features]
     return rows.withColumn("ml_score", raw(*inputs) - F.lit(forest.offset))
 

@@ -38,24 +38,22 @@ def sent_as_edges(sent: DataFrame) -> DataFrame:
 
 @dataclass
 class Layout:
-    """Edges hash-partitioned by (key, slot); a key with many edges is split over several slots."""
+    """Edges hash-partitioned and sorted by ``key``. Where some keys have very many edges, by (key, slot):
+    the edges of such a key are split over several slots."""
 
     edges: DataFrame
     key: str
     hot: DataFrame | None  # (key, slots) of split keys only
 
-    def spread(self, df: DataFrame) -> DataFrame:
-        """Give each row of ``df`` the slots of its key, repeating rows of split keys only."""
+    def meet(self, df: DataFrame) -> DataFrame:
+        """Join ``df`` to the edges of its key. Only ``df`` moves; its rows of split keys are
+        repeated once per slot."""
         if self.hot is None:
-            return df.withColumn("slot", F.lit(0))
+            return df.join(self.edges, self.key)
         slots = F.coalesce("slots", F.lit(1))
-        return (
-            df.join(self.hot, self.key, "left")
-            .withColumn("slot", F.explode(F.sequence(F.lit(0), slots - 1))).drop("slots"))
-
-    def meet(self, df: DataFrame) -> DataFrame:
-        """Join ``df`` to the edges of its key; only ``df`` moves."""
-        return self.spread(df).join(self.edges, [self.key, "slot"])
+        spread = df.join(self.hot, self.key, "left").withColumn(
+            "slot", F.explode(F.sequence(F.lit(0), slots - 1))).drop("slots")
+        return spread.join(self.edges, [self.key, "slot"])
 
 
 class TransferGraph:
@@ -87,13 +85,11 @@ class TransferGraph:
             self.pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n_edges"))
             .filter(F.col("n_edges") > self.slot_edges).select(key, slots))
         if hot.isEmpty():
-            placed, hot = self.pairs.withColumn("slot", F.lit(0)), None
-        else:
-            small = F.broadcast(hot) if fits_broadcast(hot) else hot
-            placed = self.pairs.join(small, key, "left").withColumn(
-                "slot", F.pmod(F.hash(other), F.coalesce("slots", F.lit(1)))).drop("slots")
-            hot = small
-        return Layout(pin(placed.repartition(width, key, "slot")), key, hot)
+            return Layout(pin(self.pairs.repartition(width, key).sortWithinPartitions(key)), key, None)
+        small = F.broadcast(hot) if fits_broadcast(hot) else hot
+        placed = self.pairs.join(small, key, "left").withColumn(
+            "slot", F.pmod(F.hash(other), F.coalesce("slots", F.lit(1)))).drop("slots")
+        return Layout(pin(placed.repartition(width, key, "slot").sortWithinPartitions(key, "slot")), key, small)
 
     @cached_property
     def by_src(self) -> Layout:
@@ -113,7 +109,8 @@ class TransferGraph:
             everyone = everyone.union(self._extra.select("node")).distinct()
         filled = everyone.join(sends, "node", "left").withColumns({
             "out_w": F.coalesce("out_w", F.lit(0.0)), "out_degree": F.coalesce("out_degree", F.lit(0))})
-        return cut(filled)
+        width = shuffle_width(self.spark)
+        return pin(filled.repartition(width, "node").sortWithinPartitions("node"))
 
     @cached_property
     def numbers(self) -> DataFrame:

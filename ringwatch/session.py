@@ -49,8 +49,15 @@ def pin(df: DataFrame) -> DataFrame:
     Later joins on the same keys need no further shuffle. The size estimate of the original plan
     is kept too, so use ``cut`` for what a loop feeds back into itself.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    shared_dir(spark)
+    # An adaptive plan does not tell its partitioning, so this one step is planned without it.
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -65,8 +72,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path under this application's own folder, which can be dropped as a whole after the run."""
+    own = f"{shared_dir(spark).rstrip('/')}/ringwatch-{spark.sparkContext.applicationId}"
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def shuffle_width(spark: SparkSession) -> int:
