@@ -11,8 +11,8 @@ from ringwatch.session import build_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
+    session = build_session("tests", "local[4]", **{
+        "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
         "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
