@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwatch.llm import packing, prefix_counts, simhash, topk, urls
+from ringwatch.llm import packing, prefix_counts, simhash, substrings, topk, toxicity, urls
 from ringwatch.llm.common import table
 
 
@@ -24,10 +24,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("ids")
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removals(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).drop("matched")
 
@@ -36,7 +45,9 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_top_k": op3_top_k,
     "op4_packing": op4_packing,
+    "op6_substrings": op6_substrings,
     "op8_token_counts": op8_token_counts,
+    "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
 }
 
