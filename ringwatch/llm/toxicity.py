@@ -56,9 +56,14 @@ class Model:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
 
 
-def train(texts: list[str], labels: list[int], size: int = 8, epochs: int = 6, rate: float = 0.5, scale: float = 30.0,
-          batch_docs: int = 48, seed: int = 1) -> Model:
-    """Embeddings and softmax by gradient steps of adaptive size; ``scale`` multiplies the mean vector."""
+def train(texts: list[str], labels: list[int], size: int = 4, epochs: int = 4, rate: float = 0.3, scale: float = 30.0,
+          batch_docs: int = 48, seed: int = 1, least_z: float = 4.0, calm: float = 1e-6, boost: float = 4.0) -> Model:
+    """Embeddings and softmax by gradient steps of adaptive size; ``scale`` multiplies the mean vector.
+
+    The first component of an n-gram starts from how far its share of texts with label 1 is off, in standard
+    deviations beyond ``least_z``; n-grams within that start, and stay, at zero, so that the few texts that
+    hold a rare one are not learned by heart. Texts with label 1 weigh up to ``boost`` times as much, to make up for being few.
+    """
     y = np.array(labels, np.int64)
     share = float(y.mean()) if len(y) else 0.0
     if not len(y) or share in (0.0, 1.0):
@@ -71,10 +76,21 @@ def train(texts: list[str], labels: list[int], size: int = 8, epochs: int = 6, r
     own = [buckets(w) for w in names]
     lengths = np.array([len(g) for g in own])
     grams, begin = np.array([g for o in own for g in o]), np.concatenate([[0], np.cumsum(lengths)])
+    held = np.zeros((2, BUCKETS))
+    for b, label in zip(bags, labels):
+        held[label, list({g for w in b for g in own[number[w]]})] += 1
+    expected = held.sum(0) * share
+    spread = np.sqrt(expected * (1 - share) * (1 - held.sum(0) / len(y))) + 0.5
+    z = (held[1] - expected) / spread
+    z = np.sign(z) * np.maximum(np.abs(z) - least_z, 0)
+    learned = z != 0
     docs = [(np.array([number[w] for w in b], np.int64), np.array(list(b.values()), np.float32) / max(1, b.total())) for b in bags]
-    table = rng.normal(0, 0.1, (BUCKETS, size)).astype(np.float32)
-    soft, bias = rng.normal(0, 0.5, (size, 2)).astype(np.float32), np.zeros(2, np.float32)
-    seen = [np.full(BUCKETS, 1e-6, np.float32), np.full_like(soft, 1e-6), np.full_like(bias, 1e-6)]
+    table = rng.normal(0, 0.1, (BUCKETS, size)).astype(np.float32) * learned[:, None]
+    table[:, 0] = z
+    soft = rng.normal(0, 0.1, (size, 2)).astype(np.float32)
+    soft[0] = -0.5, 0.5
+    bias = np.array([1.5, -1.5], np.float32)
+    seen = [np.full(BUCKETS, calm, np.float32), np.full_like(soft, 1e-6), np.full_like(bias, 1e-6)]
     for epoch in range(epochs):
         step = rate * (1 - epoch / (epochs + 1))
         order = rng.permutation(len(docs))
@@ -87,29 +103,29 @@ def train(texts: list[str], labels: list[int], size: int = 8, epochs: int = 6, r
             share_of = np.concatenate([docs[d][1] for d in chosen])
             # Each word of the batch once, with what it weighs in every text.
             word_ids, back = np.unique(ids, return_inverse=True)
-            spread = np.zeros((len(chosen), len(word_ids)), np.float32)
-            spread[part, back] = share_of
+            weighs = np.zeros((len(chosen), len(word_ids)), np.float32)
+            weighs[part, back] = share_of
             n = lengths[word_ids]
             cells = grams[np.repeat(begin[word_ids] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())]
             heads = np.concatenate([[0], np.cumsum(n)[:-1]])
             vectors = np.add.reduceat(table[cells], heads, axis=0) / n[:, None]
-            means = scale * (spread @ vectors)
-            z = means @ soft + bias
-            p = np.exp(z - z.max(1, keepdims=True))
+            means = scale * (weighs @ vectors)
+            logits = means @ soft + bias
+            p = np.exp(logits - logits.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             p[np.arange(len(chosen)), y[chosen]] -= 1
-            p /= len(chosen)
+            p *= np.where(y[chosen], min(boost, 1 / share - 1), 1.0)[:, None] / len(chosen)
             grad_soft, grad_bias = means.T @ p, p.sum(0)
-            grad_words = scale * (spread.T @ (p @ soft.T)) / n[:, None]
+            grad_words = scale * (weighs.T @ (p @ soft.T)) / n[:, None]
             cell, where = np.unique(cells, return_inverse=True)
             to = np.repeat(np.arange(len(word_ids)), n)
-            grad = np.stack([np.bincount(where, grad_words[to, k], len(cell)) for k in range(size)], 1).astype(np.float32)
+            grad = np.stack([np.bincount(where, grad_words[to, k], len(cell)) for k in range(size)], 1) * learned[cell, None]
             seen[0][cell] += (grad ** 2).mean(1)
-            table[cell] -= 0.2 * step * grad / np.sqrt(seen[0][cell])[:, None]
+            table[cell] -= step * grad / np.sqrt(seen[0][cell])[:, None]
             seen[1] += grad_soft ** 2
-            soft -= 0.1 * step * grad_soft / np.sqrt(seen[1])
+            soft -= step * grad_soft / np.sqrt(seen[1])
             seen[2] += grad_bias ** 2
-            bias -= 0.1 * step * grad_bias / np.sqrt(seen[2])
+            bias -= step * grad_bias / np.sqrt(seen[2])
     return Model(scale * (table @ (soft[:, 1] - soft[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
