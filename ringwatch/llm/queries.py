@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwatch.llm import packing, prefix_counts, simhash, substrings, topk, toxicity, urls
+from ringwatch.llm import decontamination, licenses, lm, packing, prefix_counts, simhash, substrings, topk, toxicity, urls
 from ringwatch.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -24,10 +28,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("ids")
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removals(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm.score(table(spark, sf_dir, "documents"), good)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -43,9 +56,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_decontamination": op2_decontamination,
     "op3_top_k": op3_top_k,
     "op4_packing": op4_packing,
+    "op5_licenses": op5_licenses,
     "op6_substrings": op6_substrings,
+    "op7_lm_scores": op7_lm_scores,
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
