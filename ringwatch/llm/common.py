@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ringwatch.session import cut, scratch_path  # noqa: F401  re-exported for the operators
 
@@ -26,7 +27,7 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return numbered.select(*[F.col(f"__c{columns.index(n)}").alias(n) for n in names])
 
 
-def mapped(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def mapped(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` whose Python workers find this package wherever the driver was started."""
     environment = df.sparkSession.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
@@ -57,3 +58,21 @@ def words(text: str | None) -> list[bytes]:
 def folded(text: str | None) -> list[bytes]:
     """As ``words``, with A-Z lower-cased and no other letter."""
     return text.encode().lower().split() if text else []
+
+
+def passing(docs: DataFrame, keep: Callable[[list[str | None]], list[bool]]) -> DataFrame:
+    """The rows whose texts ``keep`` accepts, with all their columns; decided row by row, whatever the ids."""
+    at = list(docs.columns).index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
+
+    numbered = docs.toDF(*[f"__c{i}" for i in range(len(docs.columns))])
+    return mapped(numbered, work, numbered.schema).toDF(*docs.columns)
+
+
+def with_rows(docs: DataFrame) -> DataFrame:
+    """The documents as a written table with one more column, ``__row``: a number of each row's own."""
+    numbered = docs.toDF(*[f"__c{i}" for i in range(len(docs.columns))])
+    return cut(numbered.withColumn("__row", F.monotonically_increasing_id())).toDF(*docs.columns, "__row")

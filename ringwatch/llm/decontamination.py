@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ringwatch.llm.common import batch_of, folded, longs, mapped, pick
+from ringwatch.llm.common import batch_of, folded, longs, mapped, passing, pick
 from ringwatch.llm.simhash import shingle_hashes
 
 RADIUS = 15
@@ -195,3 +195,11 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, width: int =
     return found.groupBy("doc_id", "item_id").agg(best.alias("m")).select(
         "doc_id", "item_id", F.col("m.similarity").alias("similarity"), (-F.col("m.s")).alias("start"),
         F.col("m.n_words").alias("n_words"))
+
+
+def without_matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, width: int = 5) -> DataFrame:
+    """The documents without any window that reaches ``least`` against an item."""
+    for block in _blocks(benchmark):
+        known = Benchmark(block, width)
+        docs = passing(docs, lambda texts, known=known: [not known.matches(t, least) for t in texts])
+    return docs

@@ -262,11 +262,19 @@ def removals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The documents, each text without its repeated words; a text without any stays as it is."""
+    """The documents, each text without its repeated words; a text without any stays as it is (n_chars follows)."""
+    names = list(docs.columns)
     _, copies, found = repeats(docs, width)
     own = _kept(found).select(F.col("key").alias("__key"), F.col("kept").alias("__kept")).dropDuplicates(["__key"])
     many = copies.filter("copies > 1").select(F.col("key").alias("__key"), F.lit(True).alias("__many"))
-    joined = docs.withColumn("__key", _key()).join(own.join(many, "__key", "full"), "__key", "left")
-    n_words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    text = F.when(F.col("__many") & (n_words >= width), F.lit("")).otherwise(F.coalesce("__kept", "text"))
-    return joined.withColumn("text", text).drop("__key", "__kept", "__many")
+    numbered = docs.toDF(*[f"__c{i}" for i in range(len(names))])
+    text = f"__c{names.index('text')}"
+    joined = numbered.withColumn("__key", _key(text)).join(own.join(many, "__key", "full"), "__key", "left")
+    n_words = F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    kept = F.when(F.col("__many") & (n_words >= width), F.lit("")).otherwise(F.coalesce("__kept", text))
+    joined = joined.withColumn(text, kept)
+    if "n_chars" in names:
+        size = f"__c{names.index('n_chars')}"
+        changed = F.col("__many").isNotNull() | F.col("__kept").isNotNull()
+        joined = joined.withColumn(size, F.when(changed, F.length(text).cast("long")).otherwise(F.col(size)))
+    return joined.select(*numbered.columns).toDF(*names)

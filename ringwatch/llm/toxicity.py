@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringwatch.llm.common import batch_of, mapped, pick
+from ringwatch.llm.common import batch_of, mapped, passing, pick
 
 #: Bounds of the training sample: labelled rows, and letters of a text that may be among them.
 TRAIN_ROWS = 3000
@@ -143,25 +143,32 @@ def held_out(doc_id: object) -> object:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+class Scorer:
+    """Scores texts with one number remembered per word."""
+
+    def __init__(self, model: Model):
+        self.model, self.memo = model, {}
+
+    def __call__(self, text: str | None) -> float:
+        own, memo = WORD.findall((text or "").lower()), self.memo
+        try:
+            return self.model.score([memo[w] for w in own])
+        except KeyError:
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+            for w in set(own):
+                if w not in memo:
+                    memo[w] = self.model.word(w)
+            return self.model.score([memo[w] for w in own])
+
+
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """doc_id, held_out, score, predicted of every text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, float] = {}
+        scorer = Scorer(model)
         for batch in batches:
-            scores = []
-            for text in batch.column("text").to_pylist():
-                own = WORD.findall((text or "").lower())
-                try:
-                    values = [memo[w] for w in own]
-                except KeyError:
-                    if len(memo) > MEMO_WORDS:
-                        memo.clear()
-                    for w in set(own):
-                        if w not in memo:
-                            memo[w] = model.word(w)
-                    values = [memo[w] for w in own]
-                scores.append(model.score(values))
+            scores = [scorer(t) for t in batch.column("text").to_pylist()]
             yield batch_of(
                 doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), score=pa.array(scores, pa.float64()),
                 predicted=pa.array([int(s >= threshold) for s in scores], pa.int32()))
@@ -169,3 +176,13 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     return mapped(
         pick(docs, "doc_id", "text").withColumn("held_out", held_out(F.col("doc_id"))), work,
         "doc_id long, held_out boolean, score double, predicted int")
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
+    """The documents whose score stays below the threshold."""
+
+    def keep(texts: list[str | None]) -> list[bool]:
+        scorer = Scorer(model)
+        return [scorer(t) < threshold for t in texts]
+
+    return passing(docs, keep)
