@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -176,7 +177,8 @@ def repeats(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame,
     leads = rows.filter(F.size("hashes") > 0).join(copies.select("key", "row", "lead"), ["key", "row"])
     anchors = cut(leads.select("key", "lead", F.explode(F.arrays_zip("hashes", "firsts", "windows")).alias("a")).select(
         "key", "lead", F.col("a.hashes").alias("prefix"), F.col("a.firsts").alias("first"), F.col("a.windows").alias("windows")))
-    shared = anchors.groupBy("prefix").agg(F.count(F.lit(1)).alias("suffixes")).filter("suffixes > 1")
+    # Written, so that the join that follows can split a prefix with very many suffixes.
+    shared = cut(anchors.groupBy("prefix").agg(F.count(F.lit(1)).alias("suffixes")).filter("suffixes > 1"))
     wanted = anchors.join(shared, "prefix").groupBy("key", "lead").agg(
         F.collect_list(F.struct("prefix", "first", "windows", "suffixes")).alias("anchors"))  # of one text
     texts = pick(docs, "doc_id", "text").withColumn("key", _key())
@@ -195,22 +197,29 @@ def repeats(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame,
         for batch in batches:
             for key, text, own in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "anchors"))):
                 all_words = words(text)
-                starts = [s for a in own for s in range(a["first"], a["first"] + a["windows"])]
-                for at in range(0, len(starts), 10_000):
-                    part = starts[at:at + 10_000]
+                nodes: dict[bytes, list[int]] = {}
+                for s in sorted(s for a in own for s in range(a["first"], a["first"] + a["windows"])):
+                    nodes.setdefault(xxhash.xxh3_128_digest(b" ".join(all_words[s:s + width])), []).append(s)
+                # One row per node and text, however often the text repeats itself.
+                for part in batched(nodes.items(), 10_000):
+                    runs = [_runs(np.array(starts), width) for _, starts in part]
                     yield batch_of(
-                        node=pa.array([xxhash.xxh3_128_digest(b" ".join(all_words[s:s + width])) for s in part], pa.binary()),
-                        key=pa.array([key] * len(part), pa.binary()), start=longs(part))
+                        node=pa.array([n for n, _ in part], pa.binary()), key=pa.array([key] * len(part), pa.binary()),
+                        leaves=longs([len(starts) for _, starts in part]),
+                        spans=pa.array([[{"start": x, "stop": y} for x, y in zip(*map(np.ndarray.tolist, r))] for r in runs], _SPANS))
 
     def some(condition: object) -> DataFrame:
         return texts.withColumn("anchors", F.filter("anchors", condition)).filter(F.size("anchors") > 0)
 
     short = mapped(some(lambda a: a["suffixes"] <= GROUP_SUFFIXES), contexts, "prefix long, key binary, first long, context binary")
     spans = _tree_spans(short.repartition("prefix").sortWithinPartitions("prefix"), width)
-    deep = cut(mapped(some(lambda a: a["suffixes"] > GROUP_SUFFIXES), windows, "node binary, key binary, start long"))
-    nodes = deep.groupBy("node").agg(F.count(F.lit(1)).alias("leaves")).filter("leaves > 1").select("node")
-    spans = spans.unionByName(deep.join(nodes, "node").select("key", "start", (F.col("start") + width).alias("stop")))
-    by_text = spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))  # of one text
+    spans = spans.select("key", F.array(F.struct("start", "stop")).alias("spans"))
+    deep = cut(mapped(
+        some(lambda a: a["suffixes"] > GROUP_SUFFIXES), windows,
+        "node binary, key binary, leaves long, spans array<struct<start: long, stop: long>>"))
+    nodes = cut(deep.groupBy("node").agg(F.sum("leaves").alias("leaves")).filter("leaves > 1").select("node"))
+    spans = spans.unionByName(deep.join(nodes, "node").select("key", "spans"))
+    by_text = spans.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # of one text
     found = texts.select("key", "text").join(by_text, "key")
     return rows.select("doc_id", "key", "n_words", "digest"), copies.select("key", "copies"), found
 
