@@ -382,7 +382,7 @@ q{i} AS MATERIALIZED (
   FROM o{i} o JOIN g{i} g ON o.node = g.node
   JOIN (SELECT community AS c, sum(k) AS kc FROM g{i} GROUP BY 1) t ON t.c = o.c, m),
 g{i + 1} AS MATERIALIZED (
-  SELECT node, k, CASE WHEN {_draw('node', str(i), str(_SEED))} % 2 = 0 AND best > stay THEN bc ELSE community END
+  SELECT node, k, CASE WHEN ({_draw('node', str(i // 2), str(_SEED))} + {i}) % 2 = 0 AND best > stay THEN bc ELSE community END
     AS community
   FROM (SELECT node, k, community, max(score) AS best, arg_min(c, (-score, c)) AS bc,
       max(CASE WHEN c = community THEN score END) AS stay
@@ -486,12 +486,13 @@ SELECT {_edge_cols(', batch_id')} FROM (
   SELECT *, row_number() OVER (PARTITION BY wallet_address, to_wallet, window_start ORDER BY batch_id DESC) AS rn
   FROM versions) WHERE rn = 1""",
     "batch_metrics": VERSIONS + " SELECT * FROM batches",
-    "metrics_summary": VERSIONS + """
+    "metrics_summary": VERSIONS + """, last AS (
+  SELECT * FROM versions WHERE batch_id = (SELECT max(batch_id) FROM versions))
 SELECT 'active' AS status, sum(groups_updated)::bigint AS total_processed, sum(anomalies)::bigint AS total_anomalies,
   max(batch_id) AS last_batch_id, arg_max(avg_z_score, batch_id) AS avg_z_score,
-  (SELECT count(*) FROM recent) AS recent_batch_record_count,
-  (SELECT round(sum(coalesce(avg_gas, 0.0)) / count(*), 4) FROM recent) AS recent_avg_gas_fee,
-  (SELECT sum(tx_count)::bigint FROM recent) AS recent_total_tx_count
+  (SELECT count(*) FROM last) AS recent_batch_record_count,
+  (SELECT round(sum(coalesce(avg_gas, 0.0)) / count(*), 4) FROM last) AS recent_avg_gas_fee,
+  (SELECT sum(tx_count)::bigint FROM last) AS recent_total_tx_count
 FROM batches""",
     "recent_batch_rows": VERSIONS + f" SELECT {_edge_cols(', batch_id')} FROM recent",
     "stream_detection": f"{WIN} SELECT {_edge_cols()} FROM win_judged",

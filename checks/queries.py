@@ -18,7 +18,7 @@ from ringwatch.operators.graph.betweenness import betweenness
 from ringwatch.operators.graph.fastrp import fastrp
 from ringwatch.operators.graph.pagerank import pagerank
 from ringwatch.operators.graph.project import TransferGraph, collapse, distinct_pairs, node_set, sent_as_edges
-from ringwatch.operators.graph.rings import find_rings, ring_flags
+from ringwatch.operators.graph.rings import find_rings, first_rings, ring_flags
 from ringwatch.operators.quantile import exact_quantile
 from ringwatch.operators.rules import apply_rules, verdict, without_model
 from ringwatch.operators.windows import pair_windows, pair_windows_by_pane
@@ -191,7 +191,7 @@ def batch_metrics(spark, d):
 
 def metrics_summary(spark, d):
     sent = _versions(spark, d)
-    return views.metrics_summary(views.batch_metrics(sent), views.recent_rows(sent)).drop("recent_records")
+    return views.metrics_summary(views.batch_metrics(sent), views.last_batch(sent)).drop("recent_records")
 
 
 def recent_batch_rows(spark, d):
@@ -367,7 +367,7 @@ def rings_trail(spark, d):
 
 
 def rings_first_100(spark, d):
-    return find_rings(_graph(spark, d).pairs, mode="trail", limit=100).select(
+    return first_rings(find_rings(_graph(spark, d).pairs, mode="trail"), 100).select(
         "ring_id", "ring_key", "start_address", "ring_length")
 
 

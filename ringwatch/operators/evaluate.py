@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ringwatch.config import NORMAL_LABEL, REASON_ML
 
 
-def latest_labelled(edges: DataFrame, limit: int | None = 2000) -> DataFrame:
+def latest_labelled(edges: DataFrame, limit: int | None = None) -> DataFrame:
     """The newest edges that carry a label; edges without a time come first, as in a descending
-    sort where NULL is greatest. ``limit=None`` keeps all."""
+    sort where NULL is greatest. All of them, unless the caller sets a limit."""
     labelled = edges.filter(F.col("true_label").isNotNull())
     if limit is None:
         return labelled
@@ -76,7 +76,7 @@ def report(matrix: DataFrame) -> DataFrame:
     return wide.select("detector", F.inline(rows))
 
 
-def evaluate(edges: DataFrame, limit: int | None = 2000) -> tuple[DataFrame, DataFrame, DataFrame]:
+def evaluate(edges: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Label counts, confusion matrices and the report for rules, model and both together."""
     marked = with_indicators(latest_labelled(edges, limit))
     labels = marked.groupBy("true_label").agg(F.count(F.lit(1)).alias("n"))
@@ -85,7 +85,7 @@ def evaluate(edges: DataFrame, limit: int | None = 2000) -> tuple[DataFrame, Dat
     return labels, matrix, report(matrix)
 
 
-def write_report(edges: DataFrame, out: str, limit: int | None = 2000) -> None:
+def write_report(edges: DataFrame, out: str, limit: int | None = None) -> None:
     """Write the report and the label counts as JSON."""
     labels, _, long_report = evaluate(edges, limit)
     counts = labels.select(

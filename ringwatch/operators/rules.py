@@ -28,8 +28,7 @@ def rule_reason(cfg: RuleConfig) -> Column:
 
 def apply_rules(windows: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:
     return (
-        windows.withColumn("stddev_safe", safe_stddev(F.col("stddev_amount")))
-        .withColumn("z_score", z_score())
+        windows.withColumn("z_score", z_score())
         .withColumn("rule_reason", rule_reason(cfg)))
 
 

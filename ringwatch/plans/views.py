@@ -22,18 +22,21 @@ def batch_metrics(sent: DataFrame) -> DataFrame:
         F.round(F.avg(F.coalesce("z_score", F.lit(0.0))), 2).alias("avg_z_score"))
 
 
+def last_batch(sent: DataFrame) -> DataFrame:
+    """All rows of the last batch."""
+    return sent.filter(F.col("batch_id") == sent.agg(F.max("batch_id")).scalar())
+
+
 def recent_rows(sent: DataFrame, rows: int = RECENT_ROWS) -> DataFrame:
-    """The first rows of the last batch, in key order."""
-    last = sent.agg(F.max("batch_id")).scalar()
-    return sent.filter(F.col("batch_id") == last).orderBy(
-        "window_start", "wallet_address", "to_wallet").limit(rows)
+    """A listing of the first rows of the last batch, in key order."""
+    return last_batch(sent).orderBy("window_start", "wallet_address", "to_wallet").limit(rows)
 
 
 def metrics_summary(metrics: DataFrame, recent: DataFrame) -> DataFrame:
     """Running totals, the last batch's values, and what its recent rows add up to.
 
-    Totals come from one row per batch, so a batch written twice counts once. ``recent`` holds at
-    most ``RECENT_ROWS`` rows; the summary shows the first of them as a list.
+    Totals come from one row per batch, so a batch written twice counts once. ``recent`` is the whole last
+    batch; besides its sums, the summary lists its first ``SHOWN_ROWS`` rows.
     """
     total = metrics.agg(
         F.coalesce(F.max_by("status", "batch_id"), F.lit("initializing")).alias("status"),
@@ -41,18 +44,19 @@ def metrics_summary(metrics: DataFrame, recent: DataFrame) -> DataFrame:
         F.coalesce(F.sum("anomalies"), F.lit(0)).alias("total_anomalies"),
         F.max("batch_id").alias("last_batch_id"),
         F.coalesce(F.max_by("avg_z_score", "batch_id"), F.lit(0.0)).alias("avg_z_score"))
-    rows = F.sort_array(F.collect_list(F.struct("window_start", "wallet_address", "to_wallet", "tx_id")))
+    keys = ["window_start", "wallet_address", "to_wallet", "tx_id"]
+    rows = recent.select(*keys).orderBy(*keys).limit(SHOWN_ROWS).agg(
+        F.sort_array(F.collect_list(F.struct(*keys)))).scalar()
     shown = recent.agg(F.struct(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.round(F.sum(F.coalesce("gas_fee", F.lit(0.0))) / F.greatest(F.count(F.lit(1)), F.lit(1)), 4),
                    F.lit(0.0)).alias("gas"),
-        F.coalesce(F.sum("tx_count"), F.lit(0)).alias("tx"),
-        F.slice(rows, 1, SHOWN_ROWS).alias("rows"))).scalar()
+        F.coalesce(F.sum("tx_count"), F.lit(0)).alias("tx"))).scalar()
     return total.select(
         "*", shown.getField("n").alias("recent_batch_record_count"),
         shown.getField("gas").alias("recent_avg_gas_fee"),
         shown.getField("tx").alias("recent_total_tx_count"),
-        shown.getField("rows").alias("recent_records"))
+        rows.alias("recent_records"))
 
 
 def wash_rings(wallets: DataFrame) -> DataFrame:
