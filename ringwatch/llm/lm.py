@@ -81,7 +81,8 @@ def score(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score of every document; ``targets`` has the ids of target texts."""
     wanted = pick(targets, "doc_id").dropna().distinct().withColumn("__t", F.lit(True))
     own = pick(docs, "doc_id", "text")
-    marked = own.join(wanted, "doc_id", "left").select("text", F.coalesce("__t", F.lit(False)).alias("is_target"))
+    # The same join at every size: the ids may be as many as the documents.
+    marked = own.join(wanted.hint("merge"), "doc_id", "left").select("text", F.coalesce("__t", F.lit(False)).alias("is_target"))
     found = counts(marked).orderBy("trigram").toArrow()  # at most 256^3 rows
     trigrams = found.column("trigram").to_numpy()
     target, background = (found.column(c).to_numpy().astype(np.float64) for c in ("target", "background"))
