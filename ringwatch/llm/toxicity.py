@@ -134,7 +134,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     marked = pick(labels, "doc_id", "toxic").dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = pick(docs, "doc_id", "text").filter(
         ~held_out(F.col("doc_id")) & F.col("text").isNotNull() & (F.length("text") <= TRAIN_CHARS))
-    sample = known.join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).toArrow()
+    # Ids are matched and chosen first, so that no text but those of the sample moves.
+    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = known.select("doc_id").join(marked, "doc_id").orderBy(*by_hash).limit(rows).distinct()
+    sample = known.join(F.broadcast(chosen), "doc_id").orderBy(*by_hash, "text").limit(rows).toArrow()
     return train(sample.column("text").to_pylist(), [int(t > 0) for t in sample.column("toxic").to_pylist()])
 
 
