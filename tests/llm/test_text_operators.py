@@ -241,3 +241,17 @@ def test_empty_tables(spark, docs):
             decontamination.find(empty, benchmark), licenses.scan(empty), lm.score(empty, labels.select("doc_id")),
             toxicity.score(empty, toxicity.fit(empty, labels))):
         assert result.count() == 0
+
+
+def test_toxicity_sample_is_the_first_rows_by_hash_of_id(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    rows = [(i, f"text {i} {c}") for i in range(60) for c in range(1 + i % 3)] + [(None, "x"), (7, None), (8, "y" * 30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("toxic", F.lit(5))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(4, 1), (6, None)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda texts, marks: list(zip(texts, marks)))
+    hashed = dict(spark.range(60).select("id", F.xxhash64("id")).collect())
+    known = sorted(
+        (hashed[i], i, t, int(i % 2 == 1 or i == 4)) for i, t in rows
+        if i is not None and i < 50 and t is not None and len(t) <= toxicity.TRAIN_CHARS and zlib.crc32(str(i).encode()) % 3 != 1)
+    for bound in (5, 13, 1000):
+        assert toxicity.fit(docs, labels, bound) == [(t, y) for _, _, t, y in known[:bound]]
