@@ -20,16 +20,14 @@ def exact_quantile(df: DataFrame, column: str, q: float, small: int = 100_000) -
         return None
     position = q * (total - 1)
     rank = int(position)
-    below = _value_at(values, low, high, total, rank, small)
-    if position == rank:
-        return below
-    above = _value_at(values, low, high, total, rank + 1, small)
-    return below + (above - below) * (position - rank)
+    below, above = _values_at(values, low, high, total, rank, small)
+    return below if position == rank else below + (above - below) * (position - rank)
 
 
-def _value_at(values: DataFrame, low: float, high: float, total: int, rank: int, small: int) -> float:
-    """The value at a zero-based rank."""
-    skipped, inside = 0, total
+def _values_at(
+        values: DataFrame, low: float, high: float, total: int, rank: int, small: int) -> tuple[float, float]:
+    """The values at a zero-based rank and at the next one, both from one run of narrowing."""
+    skipped, inside, following = 0, total, high
     while low < high and inside > small:
         width = (high - low) / BINS
         if low + width == low:
@@ -38,17 +36,20 @@ def _value_at(values: DataFrame, low: float, high: float, total: int, rank: int,
         bin_no = F.least(F.floor((F.col("x") - low) / width), F.lit(BINS - 1))
         bins = inner.groupBy(bin_no.alias("b")).agg(
             F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("b").collect()
-        for row in bins:
+        for at, row in enumerate(bins):
             if skipped + row["n"] > rank:
                 low, high, inside = row["lo"], row["hi"], row["n"]
+                # The least value above the bin, should the next rank lie outside.
+                following = bins[at + 1]["lo"] if at + 1 < len(bins) else following
                 break
             skipped += row["n"]
     if low == high:
-        return low
+        return low, low if skipped + inside > rank + 1 else following
     # Equal values are counted together, so the rows sorted here are distinct values.
-    ladder = values.filter(F.col("x").between(low, high)).groupBy("x").agg(F.count("x").alias("n"))
-    for row in ladder.orderBy("x").collect():
+    ladder = values.filter(F.col("x").between(low, high)).groupBy("x").agg(F.count("x").alias("n")).orderBy("x").collect()
+    for at, row in enumerate(ladder):
         skipped += row["n"]
         if skipped > rank:
-            return row["x"]
+            after = ladder[at + 1]["x"] if at + 1 < len(ladder) else following
+            return row["x"], row["x"] if skipped > rank + 1 else after
     raise AssertionError("rank outside of the data")
