@@ -51,10 +51,11 @@ def score_batch(rows: DataFrame, settings: Settings, forest: forests.Forest | No
 
 def process_batch(batch: DataFrame, batch_id: int, settings: Settings, forest: forests.Forest | None) -> None:
     """Store one batch and its metrics. Running it again for the same id replaces both."""
-    if batch.isEmpty():
-        return
+    # Written first and looked at after that, so that the plan with its state and source runs once.
     write_batch(sent_rows(score_batch(batch, settings, forest)), settings.path("sent"), batch_id)
     stored = batch.sparkSession.read.schema(SENT).parquet(f"{settings.path('sent')}/batch_id={batch_id}")
+    if stored.isEmpty():
+        return
     metrics = views.batch_metrics(stored.withColumn("batch_id", F.lit(batch_id).cast("long")))
     write_batch(metrics.drop("batch_id").coalesce(1), settings.path("metrics"), batch_id)
 
@@ -73,10 +74,13 @@ def start_detection(transfers: DataFrame, settings: Settings, forest: forests.Fo
 def start_archive(decoded: DataFrame, settings: Settings) -> StreamingQuery:
     """Keep all decoded rows: usable ones as transfers, the others with the reason they were set aside."""
     def keep(batch: DataFrame, batch_id: int) -> None:
-        marked = with_reject_reason(batch)
-        write_batch(marked.filter("reject_reason IS NULL").select(*TRANSFER.fieldNames()),
-                    settings.path("transfers"), batch_id)
-        write_batch(marked.filter("reject_reason IS NOT NULL"), settings.path("rejects"), batch_id)
+        marked = with_reject_reason(batch).persist()
+        try:
+            write_batch(marked.filter("reject_reason IS NULL").select(*TRANSFER.fieldNames()),
+                        settings.path("transfers"), batch_id)
+            write_batch(marked.filter("reject_reason IS NOT NULL"), settings.path("rejects"), batch_id)
+        finally:
+            marked.unpersist()
 
     return (
         decoded.writeStream.queryName("archive").outputMode("append")
