@@ -407,6 +407,15 @@ said AS (
   SELECT 'rule_based' AS detector, y, a AS p FROM lab UNION ALL SELECT 'isolation_forest', y, 0 FROM lab
   UNION ALL SELECT 'combined', y, a FROM lab)
 """
+SCORED_CELLS = """
+lab AS (
+  SELECT (w.true_label <> 'normal')::int AS y, (w.rule_reason IS NOT NULL)::int AS a,
+    coalesce(s.ml_score < 0, false)::int AS b
+  FROM scored s JOIN win_judged w USING (wallet_address, to_wallet, window_start) WHERE w.true_label IS NOT NULL),
+said AS (
+  SELECT 'rule_based' AS detector, y, a AS p FROM lab UNION ALL SELECT 'isolation_forest', y, b FROM lab
+  UNION ALL SELECT 'combined', y, greatest(a, b) FROM lab)
+"""
 MATRIX = """
 matrix AS (
   SELECT detector, count(*) FILTER (y = 0 AND p = 0) AS tn, count(*) FILTER (y = 0 AND p = 1) AS fp,
@@ -588,5 +597,6 @@ SELECT window_start, wallet_address, to_wallet, true_label, (true_label <> 'norm
   (rule_reason IS NOT NULL)::int AS y_rule, 0 AS y_ml, (rule_reason IS NOT NULL)::int AS y_combined
 FROM win_judged WHERE true_label IS NOT NULL {_NEWEST} LIMIT 2000""",
     "window_report": _with(WINDOW_CELLS, REPORT) + _REPORT_OUT,
+    "window_report_scored": SCORED + "," + SCORED_CELLS + "," + REPORT + _REPORT_OUT,
     "label_counts": f"{WIN} SELECT true_label, count(*) AS n FROM win GROUP BY 1",
 }

@@ -504,6 +504,13 @@ def window_report(spark, d):
     return ev.evaluate(_window_edges(spark, d), limit=None)[2].withColumn("value", F.round("value", 6))
 
 
+def window_report_scored(spark, d):
+    """Rules, model and both against the labels of all windows, with the verdicts of the grown forest."""
+    marked = _judged(spark, d).select(*store.EDGE_KEY, "true_label", "rule_reason")
+    edges = verdict(_scored(spark, d).select(*store.EDGE_KEY, "ml_score").join(marked, store.EDGE_KEY))
+    return ev.evaluate(edges)[2].withColumn("value", F.round("value", 6))
+
+
 def label_counts(spark, d):
     return ev.evaluate(_window_edges(spark, d), limit=None)[0]
 
@@ -564,5 +571,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "detector_report": detector_report,
     "latest_labelled": latest_labelled,
     "window_report": window_report,
+    "window_report_scored": window_report_scored,
     "label_counts": label_counts,
 }
