@@ -103,5 +103,4 @@ def stored_transfers(spark: SparkSession, settings: Settings) -> DataFrame:
 
 def summary(spark: SparkSession, settings: Settings) -> DataFrame:
     """Totals over all batches and the look of the last one."""
-    recent = views.recent_rows(stored_edges(spark, settings))
-    return views.metrics_summary(stored_metrics(spark, settings), recent)
+    return views.metrics_summary(stored_metrics(spark, settings), views.last_batch(stored_edges(spark, settings)))
