@@ -9,7 +9,7 @@ from checks.compare import compare, open_tables
 SF = "/root/testdata/sf0.001"
 QUICK = ["rule_cascade", "sliding_pair_stats_by_pane", "json_decode", "edge_latest", "metrics_summary",
          "wallet_context", "forest_nodes", "forest_scores", "pagerank_k", "edge_collapse", "detector_report",
-         "louvain_two_rounds", "modularity", "fastrp"]
+         "louvain_two_rounds", "modularity", "fastrp", "window_report_scored", "wash_rings", "top_risk_wallets"]
 
 
 def test_every_twin_belongs_to_a_query():
