@@ -2,7 +2,7 @@
 
 Words are lower-cased (A-Z) and taken in shingles of ``width``, an item shorter than that in shingles of its own
 length. For every item size, windows of that many words slide over each text; a window's fingerprint is
-the bitwise majority of its shingle hashes. Fingerprints within ``RADIUS`` bits of an item's are found by a
+the bitwise majority of its shingle hashes. A text shorter than an item is one window of its own size. Fingerprints within ``RADIUS`` bits of an item's are found by a
 multi-index: cut into four blocks, two such fingerprints differ by at most a quarter of the radius in some block, and
 each block's index lists the items under all values that near. Candidates are then compared exactly: the
 similarity is the sum of the smaller shingle counts over the sum of the larger ones.
@@ -104,12 +104,27 @@ class Benchmark:
             shared = np.nonzero(known[place] == hashes)[0]
             if not len(shared):
                 continue
+            self._shorter(hashes, len(shared), k, n_words, least, best)
             sizes = [n for n in self.sizes if min(n, self.width) == k and n <= n_words]
             widest = max(sizes, default=0)
             for a, b in _stretches(shared, widest, len(hashes)):
                 self._stretch(hashes[a:b], np.isin(np.arange(a, b), shared, assume_unique=True), a, k, sizes, least, best)
         return best
 
+    def _shorter(self, hashes: np.ndarray, shared: int, k: int, n_words: int, least: float, best: dict) -> None:
+        """A text shorter than an item is one window, held against the items whose shingle count allows ``least``."""
+        prints, counts = _majority(_bits(hashes).sum(0, keepdims=True, dtype=np.int64), len(hashes)), None
+        for n, own in self.sizes.items():
+            total = n - k + 1
+            if min(n, self.width) != k or n <= n_words or len(hashes) < least * total or (
+                    (1 + least) * shared < least * (len(hashes) + total) - 1e-9):
+                continue
+            counts = counts or Counter(hashes.tolist())
+            for item in own.candidates(prints)[1].tolist():
+                similarity = _similarity(counts, own.counts[item])
+                if similarity >= least and (similarity, 0) > (lambda x: (x[0], -x[1]) if x else (0.0, 0))(best.get(own.ids[item])):
+                    best[own.ids[item]] = (similarity, 0, n_words)
+
     def _stretch(self, hashes: np.ndarray, shared: np.ndarray, at: int, k: int, sizes: list[int], least: float, best: dict) -> None:
         sums = np.zeros((len(hashes) + 1, 64), np.int32)
         np.cumsum(_bits(hashes), axis=0, out=sums[1:])

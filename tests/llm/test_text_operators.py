@@ -176,6 +176,18 @@ def test_decontamination_finds_edited_passages(spark, docs, texts):
     assert sorted(r["doc_id"] or 0 for r in left.collect()) == sorted(i or 0 for i, _ in texts if i not in (4, 5))
 
 
+def test_decontamination_compares_texts_shorter_than_the_item(spark):
+    item = [f"w{i}" for i in range(50)]
+    rows = [(1, " ".join(item[5:])), (2, " ".join(item[:45])), (3, " ".join(item[12:])), (4, " ".join(item[:3])), (5, "x y"),
+            (6, " ".join(item[9:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, "w0 w1 w2 w3")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): tuple(r)[2:] for r in decontamination.find(docs, benchmark).collect()}
+    assert got.pop((2, 2)) == (1.0, 0, 4)
+    assert got == {(1, 1): (41 / 46, 0, 45), (2, 1): (41 / 46, 0, 45), (6, 1): (37 / 46, 0, 41)}
+    assert sorted(r["doc_id"] for r in decontamination.without_matches(docs, benchmark).collect()) == [3, 4, 5]
+
+
 def test_licenses_by_sentence_sequences(spark):
     bsd = "\n".join(t for n, t in licenses.SENTENCES if n in ("BSDredist", "BSDsource", "BSDbinary"))
     rows = [(1, "Text. Released under the MIT  license."), (2, bsd), (3, "no licence here"), (4, None), (5, ""),
