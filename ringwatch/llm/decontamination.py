@@ -2,12 +2,11 @@
 
 Words are lower-cased (A-Z) and taken in shingles of ``width``, an item shorter than that in shingles of its own
 length. For every item size, windows of that many words slide over each text; a window's fingerprint is
-the bitwise majority of its shingle hashes. A text shorter than an item is one window of its own size. Fingerprints within ``RADIUS`` bits of an item's are found by a
-multi-index: cut into four blocks, two such fingerprints differ by at most a quarter of the radius in some block, and
-each block's index lists the items under all values that near. Candidates are then compared exactly: the
-similarity is the sum of the smaller shingle counts over the sum of the larger ones.
-
-A window without any shingle of the benchmark has similarity 0 and is not fingerprinted.
+the bitwise majority of its shingle hashes. A text shorter than an item is one window of its own size. Only windows that
+share enough shingles with the benchmark to reach the threshold are fingerprinted, which loses none. Their fingerprints are
+compared with those of all items of the size: at a ``RADIUS`` wide enough for the threshold an index by blocks would list
+almost half of the items anyway. Items within the radius are then compared exactly: the similarity is the sum of
+the smaller shingle counts over the sum of the larger ones.
 
 Items are worked through in blocks of bounded number and size, each sent to the tasks whole.
 
@@ -21,7 +20,6 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -31,18 +29,14 @@ from pyspark.sql import functions as F
 from ringwatch.llm.common import batch_of, folded, longs, mapped, passing, pick
 from ringwatch.llm.simhash import shingle_hashes
 
-RADIUS = 15
+#: Bits; at similarity 0.8 two fingerprints differ in about 10 of 64, with a deviation of 3.
+RADIUS = 22
 #: Items and letters of a block of the benchmark, and shingles of a stretch of text.
 ITEM_BLOCK = 1000
 CHAR_BLOCK = 4_000_000
 STRETCH = 1 << 15
 
 
-def _near_values(distance: int) -> np.ndarray:
-    """All 16-bit masks of at most ``distance`` bits."""
-    return np.array([sum(1 << b for b in c) for n in range(distance + 1) for c in combinations(range(16), n)], np.uint16)
-
-
 def _majority(counts: np.ndarray, total: int) -> np.ndarray:
     return np.packbits(2 * counts > total, axis=1, bitorder="little").view("<u8").ravel()
 
@@ -52,32 +46,20 @@ def _bits(hashes: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """The items of one size: ids, shingle counts, fingerprints and their multi-index."""
+    """The items of one size: ids, shingle counts and fingerprints."""
 
     def __init__(self, ids: list[int], hashes: list[np.ndarray]):
         self.ids, self.counts = ids, [Counter(h.tolist()) for h in hashes]
         self.prints = np.concatenate([_majority(_bits(h).sum(0, keepdims=True, dtype=np.int64), len(h)) for h in hashes])
-        masks, self.index = _near_values(RADIUS // 4), []
-        for block in range(4):
-            own = (self.prints >> np.uint64(16 * block) & np.uint64(0xFFFF)).astype(np.uint16)
-            values = (own[:, None] ^ masks[None, :]).ravel()
-            items = np.repeat(np.arange(len(ids)), len(masks))
-            order = np.argsort(values, kind="stable")
-            self.index.append((values[order], items[order]))
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(fingerprint, item) within the radius."""
-        found = []
-        for block, (values, items) in enumerate(self.index):
-            own = (prints >> np.uint64(16 * block) & np.uint64(0xFFFF)).astype(np.uint16)
-            low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
-            n = high - low
-            of = np.repeat(np.arange(len(prints)), n)
-            at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            found.append(of * len(self.ids) + items[at])
-        of, item = np.divmod(np.unique(np.concatenate(found)), len(self.ids))
-        near = np.bitwise_count(prints[of] ^ self.prints[item]) <= RADIUS
-        return of[near], item[near]
+        step, found = max(1, (1 << 20) // len(self.ids)), []
+        for at in range(0, len(prints), step):
+            of, item = np.nonzero(np.bitwise_count(prints[at:at + step, None] ^ self.prints[None, :]) <= RADIUS)
+            found.append((of + at, item))
+        of, item = zip(*found) if found else ([np.zeros(0, np.int64)],) * 2
+        return np.concatenate(of), np.concatenate(item)
 
 
 class Benchmark:
@@ -133,7 +115,8 @@ class Benchmark:
             span = n - k + 1  # shingles of a window
             if span > len(hashes):
                 continue
-            starts = np.nonzero(hits[span:] > hits[:-span])[0]
+            # Windows with too few shingles in common for the threshold are left out.
+            starts = np.nonzero((1 + least) * (hits[span:] - hits[:-span]) >= 2 * span * least - 1e-9)[0]
             if not len(starts):
                 continue
             prints, own = _majority(sums[starts + span] - sums[starts], span), self.sizes[n]
@@ -145,8 +128,6 @@ class Benchmark:
             begin = np.searchsorted(back[order], np.arange(len(distinct) + 1))
             for f, item in zip(of.tolist(), items.tolist()):
                 for start in starts[np.sort(order[begin[f]:begin[f + 1]])].tolist():
-                    if 2 * span * least > (1 + least) * (hits[start + span] - hits[start]) * 2:
-                        continue  # too few shingles in common for the threshold
                     similarity = _similarity(Counter(hashes[start:start + span].tolist()), own.counts[item])
                     found = (similarity, -(at + start))
                     if similarity >= least and found > (lambda x: (x[0], -x[1]) if x else (0.0, 0))(best.get(own.ids[item])):

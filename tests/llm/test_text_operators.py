@@ -188,6 +188,23 @@ def test_decontamination_compares_texts_shorter_than_the_item(spark):
     assert sorted(r["doc_id"] for r in decontamination.without_matches(docs, benchmark).collect()) == [3, 4, 5]
 
 
+def test_decontamination_recall_near_the_threshold():
+    rng = np.random.default_rng(11)
+    for size, places in ((50, (20,)), (60, (25,)), (100, (30, 70)), (14, (0,)), (400, tuple(range(10, 350, 46)))):
+        found = total = 0
+        for i in range(200):
+            item = [f"w{x}" for x in rng.integers(0, 1 << 40, size)]
+            edited = list(item)
+            for at in places:
+                edited[at] = "changed"
+            own = [{tuple(x[k:k + 5]) for k in range(size - 4)} for x in (item, edited)]
+            assert len(own[0] & own[1]) / len(own[0] | own[1]) >= 0.8
+            text = " ".join([*(f"a{x}" for x in rng.integers(0, 1 << 40, 20)), *edited, "end"])
+            found += i in decontamination.Benchmark([(i, " ".join(item))], 5).matches(text, 0.8)
+            total += 1
+        assert found == total, (size, found)
+
+
 def test_licenses_by_sentence_sequences(spark):
     bsd = "\n".join(t for n, t in licenses.SENTENCES if n in ("BSDredist", "BSDsource", "BSDbinary"))
     rows = [(1, "Text. Released under the MIT  license."), (2, bsd), (3, "no licence here"), (4, None), (5, ""),
