@@ -495,7 +495,7 @@ def _window_edges(spark, d) -> DataFrame:
 
 
 def latest_labelled(spark, d):
-    return ev.with_indicators(ev.latest_labelled(_window_edges(spark, d))).select(
+    return ev.with_indicators(ev.latest_labelled(_window_edges(spark, d), limit=2000)).select(
         "window_start", "wallet_address", "to_wallet", "true_label", "y_true", "y_rule", "y_ml", "y_combined")
 
 

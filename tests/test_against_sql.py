@@ -24,3 +24,9 @@ def test_flagship(spark):
 @pytest.mark.parametrize("name", QUICK)
 def test_same_rows(spark, name):
     assert compare(queries()[name](spark, SF), open_tables(SF), oracle_sql()[name]) == ""
+
+
+def test_latest_labelled_where_there_are_more_than_its_limit(spark):
+    folder = "/root/testdata/sf0.01"
+    found = queries()["latest_labelled"](spark, folder)
+    assert compare(found, open_tables(folder), oracle_sql()["latest_labelled"]) == ""
