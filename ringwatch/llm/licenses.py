@@ -1,11 +1,13 @@
 """Licences in texts, recognised sentence by sentence.
 
 A text is cut into sentences at line ends and after ``.``, ``!``, ``?``, ``;`` and ``:`` before white space. Each is
-normalised (lower case, letters and digits only, single blanks) and looked up among known
-licence sentences. The identifiers found, in order and without the unknown sentences between them, are
+normalised (lower case, letters and digits only, single blanks, which takes comment marks away) and looked up among known
+licence sentences, alone and joined with the lines after it up to the end of the sentence or an empty line; the longest
+known run counts. The identifiers found, in order and without the unknown sentences between them, are
 matched against ordered rules: a rule is a sequence of identifiers that follow each other, the first rule that fits at a place takes its identifiers, and the scan goes on behind it.
 
-Sentences and rules are literals of bounded number; the scan is a narrow pass of built-in functions.
+Sentences and rules are literals of bounded number; the scan is a narrow pass. A run of lines is followed only as long as
+some known sentence begins with it.
 
 Cases: null, empty and licence-free texts give no row; rows of one id are taken together; the same licence twice
 gives one row with its first place and the number of times; an empty table gives an empty result;
@@ -15,11 +17,14 @@ further columns are not read.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-from ringwatch.llm.common import pick
+from ringwatch.llm.common import batch_of, mapped, pick
 
 # Sentences of public licences and notices, as identifier and text.
 SENTENCES = [
@@ -73,38 +78,69 @@ RULES = [
 ]
 
 #: Ends of sentences; a full stop inside a version or an abbreviation is followed by a letter or digit.
-_END = r"\n|\r|(?<=[.!?;:])[ \t]+"
+_STOP = r"(?<=[.!?;:])[ \t]+"
+_LINE = r"\r\n|\n|\r"
+#: Comment marks that are words; others go with all that is no letter or digit.
+_MARK = re.compile(r"[ \t]*(?:dnl|rem)[ \t]+", re.IGNORECASE)
 
 
 def normalised(sentence: str) -> str:
     return re.sub(r"[^a-z0-9]+", " ", sentence.lower()).strip(" ")
 
 
-def _normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
-
-
-def _parts(text: str) -> list[str]:
-    return [n for n in map(normalised, re.split(_END, text)) if n]
+def _parts(text: str) -> list[tuple[str, bool]]:
+    """The sentences and lines of a text, and whether a sentence may go on in the next one."""
+    parts: list[tuple[str, bool]] = []
+    for line in re.split(_LINE, text):
+        mark, found = _MARK.match(line), False
+        pieces = re.split(_STOP, line[mark.end():] if mark else line)
+        for i, piece in enumerate(pieces):
+            if own := normalised(piece):
+                parts.append((own, i == len(pieces) - 1 and piece.rstrip()[-1] not in ".!?;:"))
+                found = True
+        if not found and parts:
+            parts[-1] = (parts[-1][0], False)
+    return parts
+
+
+def _codes(text: str, known: dict[str, int], heads: set[str]) -> str:
+    """The identifiers in a text and their places, as " 3@17 4@18 …"."""
+    parts, found, at = _parts(text), [], 0
+    while at < len(parts):
+        code, end, run = None, at, ""
+        for k in range(at, len(parts)):
+            run = f"{run} {parts[k][0]}" if run else parts[k][0]
+            if run in known:
+                code, end = known[run], k
+            if not parts[k][1] or run not in heads:
+                break
+        if code is not None:
+            found.append(f" {code}@{at}")
+        at = end + 1
+    return "".join(found)
 
 
 def scan(docs: DataFrame, sentences: list[tuple[str, str]] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
     """doc_id, license, first_sentence (place among the text's sentences), n_found."""
     # A known sentence that is itself cut in two stands for the sequence of its parts.
     numbers: dict[str, int] = {}
-    codes = {name: [numbers.setdefault(p, len(numbers)) for p in _parts(text)] for name, text in sentences}
-    known = F.create_map(*[x for p, n in numbers.items() for x in (F.lit(p), F.lit(n))])
+    codes = {name: [numbers.setdefault(p, len(numbers)) for p, _ in _parts(text)] for name, text in sentences}
+    heads = {" ".join(p.split()[:n]) for p in numbers for n in range(1, len(p.split()))}
     # The sequence of identifiers is written as text, " 3@17 4@18 …", and rules are alternatives of one pattern.
     order = [(name, "".join(rf" {c}@\d+" for s in sequence for c in codes[s])) for name, sequence in rules]
     pattern = "|".join(p for _, p in order)
-    cut_text = F.filter(F.transform(F.split("text", _END), _normalised), lambda s: s != "")
-    placed = F.transform("sentences", lambda s, i: F.struct(F.try_element_at(known, s).alias("code"), i.alias("at")))
-    written = F.array_join(F.transform(
-        F.filter(placed, lambda p: p["code"].isNotNull()), lambda p: F.concat(F.lit(" "), p["code"], F.lit("@"), p["at"])), "")
     # Only texts that hold the longest word of some known sentence are cut; no other can have one.
     hint = "|".join(sorted({max(p.split(), key=len) for p in numbers}))
-    found = pick(docs, "doc_id", "text").filter(F.lower("text").rlike(hint)).withColumn("sentences", cut_text).select(
-        "doc_id", F.explode(F.regexp_extract_all(written, F.lit(f"({pattern})"), F.lit(1))).alias("hit"))
+    own = pick(docs, "doc_id", "text").filter(F.lower("text").rlike(hint))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            written = [_codes(t, numbers, heads) for t in batch.column("text").to_pylist()]
+            yield batch_of(doc_id=batch.column("doc_id"), written=pa.array(written, pa.string()))
+
+    schema = StructType([own.schema["doc_id"]]).add("written", StringType())
+    found = mapped(own, work, schema).select(
+        "doc_id", F.explode(F.regexp_extract_all("written", F.lit(f"({pattern})"), F.lit(1))).alias("hit"))
     license_of = F.coalesce(*[F.when(F.col("hit").rlike(f"^{p}$"), F.lit(name)) for name, p in order])
     hits = found.select("doc_id", license_of.alias("license"), F.regexp_extract("hit", r"@(\d+)", 1).cast("long").alias("at"))
     return hits.groupBy("doc_id", "license").agg(

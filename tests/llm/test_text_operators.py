@@ -214,6 +214,25 @@ def test_licenses_by_sentence_sequences(spark):
     assert got == {(1, "MIT", 1, 1), (2, "BSD-2-Clause", 0, 1), (6, "CC-BY-NC-4.0", 0, 2)}
 
 
+def test_licenses_wrapped_over_lines(spark):
+    import textwrap
+
+    known = dict(licenses.SENTENCES)
+    wrapped = lambda mark, *names: "\n".join(
+        mark + line for line in textwrap.wrap(" ".join(known[n] for n in names), 72))
+    rows = [
+        (1, "Copyright 2024 Some One\n" + wrapped("", "MITperm") + "\n\n" + wrapped("", "MITnotice") + "\n\n" + wrapped("", "AsIs")),
+        (2, "/*\n" + wrapped(" * ", "BSDredist") + "\n *\n" + wrapped(" * ", "BSDsource").replace(" * ", " * 1. ", 1) + "\n" + wrapped(" * ", "BSDbinary") + "\n */"),
+        (3, wrapped("// ", "ISCperm").replace("\n", "\r\n")), (4, wrapped("# ", "GPLredist")), (5, wrapped("dnl ", "MPL2")),
+        (6, wrapped("", "GPL2redist")), (7, "Released under\n\nthe MIT License."), (8, "Released under.\nthe MIT License."),
+        (9, "Licensed under the Apache License, Version 2.0\nLicensed under CC BY 4.0\n")]
+    got = {(r["doc_id"], r["license"], r["n_found"])
+           for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {
+        (1, "MIT", 1), (2, "BSD-2-Clause", 1), (3, "ISC", 1), (4, "GPL-3.0-or-later", 1), (5, "MPL-2.0", 1),
+        (6, "GPL-2.0-or-later", 1), (9, "Apache-2.0", 1), (9, "CC-BY-4.0", 1)}
+
+
 def test_lm_scores_against_plain_counts(spark):
     rows = [(1, "abab abab abab"), (2, "zzzz qqqq"), (3, "abab"), (4, None), (5, ""), (1, "abab abab abab")]
     targets = spark.createDataFrame([(1,), (1,), (None,)], "doc_id long")
