@@ -130,6 +130,7 @@ class PrefixCounter:
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special_strings = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         with open(path, encoding="utf-8") as f:
             merges = json.load(f)["model"]["merges"]
         self.rank = {tuple(m): i for i, m in enumerate(merges)}
@@ -272,10 +273,18 @@ class PrefixCounter:
 
     def prefixes(self, text: str) -> np.ndarray:
         """Token counts of the prefixes of 0, 1, … letters of a text."""
-        if any(s in text for s in self.special):
-            return np.array([self.count(text[:k]) if any(s in text[:k] for s in self.special) else self.prefixes_plain(
-                text[:k])[-1] for k in range(len(text) + 1)], np.int32)
-        return self.prefixes_plain(text)
+        counts, at = np.zeros(len(text) + 1, np.int32), 0
+        for start, stop in self._specials(text):
+            # A prefix that ends inside the special string holds its first letters as plain text.
+            counts[at:stop] = counts[at] + self.prefixes_plain(text[at:stop - 1])
+            counts[stop] = counts[start] + 1
+            at = stop
+        counts[at:] = counts[at] + self.prefixes_plain(text[at:])
+        return counts
+
+    def _specials(self, text: str) -> list[tuple[int, int]]:
+        """Start and end of each special string; the library encodes what lies between them by itself."""
+        return [m.span() for m in self.special_strings.finditer(text)]
 
     def prefixes_plain(self, text: str) -> np.ndarray:
         counts, before, at = np.zeros(len(text) + 1, np.int32), 0, 0
@@ -290,8 +299,16 @@ class PrefixCounter:
 
     def longest_within(self, text: str, budget: int) -> int:
         """Letters of the longest prefix of at most ``budget`` tokens, without a table of the whole text."""
-        if any(s in text for s in self.special):
-            return int(np.nonzero(self.prefixes(text) <= budget)[0][-1])
+        at = 0
+        for start, stop in self._specials(text):
+            whole = self.total(text[at:start]) + 1
+            if whole > budget:
+                return at + self._longest_plain(text[at:stop - 1], budget)
+            budget -= whole
+            at = stop
+        return at + self._longest_plain(text[at:], budget)
+
+    def _longest_plain(self, text: str, budget: int) -> int:
         before = 0
         for m in self.CHUNKS.finditer(text):
             whole = self.total(m.group())

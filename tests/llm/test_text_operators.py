@@ -137,6 +137,24 @@ def test_token_counts_and_every_prefix(docs, texts):
     assert prefix_counts.cuts_within(tables, [0, 9]).collect()[1]["n_chars"] == 3
 
 
+def test_prefix_counts_around_special_strings_take_no_encoding_of_prefixes(monkeypatch):
+    library = Tokenizer.from_file(WORD_BPE)
+    count = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    counter, a, b = prefix_counter(WORD_BPE), "<|startoftext|>", "<|endoftext|>"
+    texts = [f"it's{b}Ünï {a}{a} x", f"{b}", f"{b[:-3]}{b}s end{b}{a[:-1]}", f"one two {a}\n\u0338 é{b}e\u0301", f"'{b}s {b.upper()} {a} "]
+    exact = [[count(t[:k]) for k in range(len(t) + 1)] for t in texts]
+    long = ("some words and more " * 5000) + b + "tail of it " * 4000 + a
+    whole = count(long)
+    asked = []
+    monkeypatch.setattr(counter, "count", lambda t: asked.append(t))
+    for t, own in zip(texts, exact):
+        assert counter.prefixes(t).tolist() == own
+        for budget in range(max(own) + 2):
+            assert counter.longest_within(t, budget) == max(k for k, n in enumerate(own) if n <= budget)
+    cut = counter.longest_within(long, 20_005)
+    assert not asked and count(long[:cut]) <= 20_005 < count(long[:cut + 1]) and counter.prefixes(long)[-1] == whole
+
+
 def test_packing_holds_every_token(docs, texts):
     library = Tokenizer.from_file(BYTE_BPE)
     packed = packing.pack_documents(docs, BYTE_BPE, keep_ids=True)
