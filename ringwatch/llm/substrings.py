@@ -1,12 +1,12 @@
-"""Word runs that occur more than once, found in prefix-partitioned suffix trees.
+"""Word runs that occur more than once, found among prefix-partitioned sorted suffixes.
 
 A window is ``width`` consecutive words of a text. Each window has one anchor: the position in it whose
 next ``PREFIX`` words hash lowest (the last of equals), so equal windows have equal anchors at equal places.
 The suffixes at anchors are divided by their first words; a prefix that stands only once cannot lead to
 a repeat and is dropped. The suffixes of the other prefixes are brought together with the words around
-them, prefix by prefix, and each subtree is built as sorted suffixes with their common lengths: an internal
-node of depth ``width`` or more is a repeat. A prefix with more suffixes than fit one group is taken to its
-full depth of ``width`` words instead, where a node's leaves only have to be counted.
+them, prefix by prefix; their windows of ``width`` words are sorted, and one that equals a neighbour is a repeat. No suffix tree
+is built: common lengths and internal nodes of other depths are not computed. A prefix with more suffixes than fit
+one group is settled by counting 128-bit hashes of its whole windows instead.
 
 Texts stand for all their copies: a text that several rows hold repeats in every window.
 
@@ -103,8 +103,7 @@ def _runs(starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated_suffixes(suffixes: np.ndarray) -> np.ndarray:
-    """Which rows of word numbers stand below an internal node of full depth: a neighbour in sorted order
-    has the whole row in common."""
+    """Which rows of word numbers occur more than once: a neighbour in sorted order has the whole row in common."""
     if not len(suffixes):
         return np.zeros(0, bool)
     view = np.ascontiguousarray(suffixes.astype(">u4")).view(np.dtype((np.void, 4 * suffixes.shape[1]))).ravel()
