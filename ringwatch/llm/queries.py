@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwatch.llm import decontamination, licenses, lm, packing, prefix_counts, simhash, substrings, topk, toxicity, urls
+from ringwatch.llm import (
+    alignment, decontamination, licenses, lm, packing, prefix_counts, sharding, simhash, substrings, topk, toxicity, urls, whitening)
 from ringwatch.llm.common import table
 
 
@@ -54,6 +55,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).drop("matched")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(sharding.shuffled(table(spark, sf_dir, "documents")))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A deviation that a long cannot hold is null here; the operator has all its digits.
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
@@ -65,6 +81,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
+    "op11_sharding": op11_sharding,
+    "op12_alignment": op12_alignment,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE = {
