@@ -71,10 +71,11 @@ def expected(plain, texts):
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "count_sum"]
 
 
-@pytest.mark.parametrize("broadcast_pairs", [alignment.BROADCAST_PAIRS, 0])
-def test_against_a_plain_walk(spark, plain, broadcast_pairs):
+@pytest.mark.parametrize("broadcast_pairs, chunk_bytes", [(alignment.BROADCAST_PAIRS, alignment.CHUNK_BYTES), (0, 100)])
+def test_against_a_plain_walk(spark, plain, broadcast_pairs, chunk_bytes, monkeypatch):
     rows = [(i if i != 4 else None, t, 0, "clash") for i, t in enumerate(TEXTS)] + [(1, TEXTS[1], 0, "repeated")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, row int, pairs string").repartition(3)
+    monkeypatch.setattr(alignment, "CHUNK_BYTES", chunk_bytes)
     aligned = alignment.align_documents(docs, A_PATH, public_tokenizers.PATTERN, B_PATH)
     got = alignment.scored(aligned, alignment.link_counts(aligned), broadcast_pairs).collect()
     wanted = [(r[0], *e) for r, e in zip(rows, expected(plain, [r[1] for r in rows]))]
@@ -95,17 +96,18 @@ def test_groups_are_given_out_when_asked_for(spark, plain):
 
 
 def test_a_full_memo_starts_anew(plain, monkeypatch):
-    monkeypatch.setattr(alignment, "MEMO_BYTES", 2000)
+    monkeypatch.setattr(alignment, "MEMO_WINDOWS", 10)
     both = alignment.Aligner(alignment.ByteSide(A_PATH, public_tokenizers.PATTERN), alignment.PieceSide(B_PATH))
     for text in TEXTS * 2:
-        assert both.align(text)[3] == plain(text)[2]
-    assert both.held <= 2000 or not both.memo
+        assert both.align([text])[0][3] == plain(text)[2]
+    assert [row[3] for row in both.align(TEXTS)] == [plain(t)[2] for t in TEXTS]
+    assert both.older and len(both.older) < 60
 
 
 @settings(max_examples=150, deadline=None)
 @given(text=st.text(alphabet=st.sampled_from(list("abT '’.,\t\n\r  012éß東▁<>|s\x1c\x85\xa0 Ġ")), max_size=60))
 def test_any_text(plain, text):
     both = alignment.aligner(A_PATH, public_tokenizers.PATTERN, B_PATH)
-    n_a, n_b, n_groups, groups, links = both.align(text)
+    n_a, n_b, n_groups, groups, links = both.align([text])[0]
     assert (n_a, n_b, groups) == plain(text)[:3]
     assert [(int(x) >> 32, int(x) & 0xFFFFFFFF) for x in links] == plain(text)[3]
