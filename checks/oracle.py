@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.queries import FOREST, PAGERANK_ROUNDS
+from checks.queries import FOREST, PAGERANK_ROUNDS, SETTLED_DAMPING
 
 _US_DAY = 86_400_000_000
 _SEED = 42
@@ -258,14 +258,15 @@ nodes AS MATERIALIZED (SELECT DISTINCT unnest([s, d]) AS node FROM e)
 """
 
 
-def _pagerank(rounds: int) -> str:
-    parts = ["""
+def _pagerank(rounds: int, damping: float = 0.85) -> str:
+    base = round(1 - damping, 6)
+    parts = [f"""
 share AS MATERIALIZED (SELECT s, d, w / sum(w) OVER (PARTITION BY s) AS p FROM e),
-pr0 AS (SELECT node, 0.15 AS pr FROM nodes)"""]
+pr0 AS (SELECT node, {base} AS pr FROM nodes)"""]
     for i in range(1, rounds + 1):
         parts.append(f"""
 pr{i} AS MATERIALIZED (
-  SELECT node, 0.15 + 0.85 * coalesce(r, 0.0) AS pr FROM nodes LEFT JOIN (
+  SELECT node, {base} + {damping} * coalesce(r, 0.0) AS pr FROM nodes LEFT JOIN (
     SELECT d, sum(pr * p) AS r FROM share JOIN pr{i - 1} ON node = s GROUP BY d) ON node = d)""")
     parts.append(f"ranks AS (SELECT node, pr AS pagerank FROM pr{rounds})")
     return ",".join(parts)
@@ -323,7 +324,7 @@ newest AS (SELECT * FROM win_judged {_NEWEST} LIMIT 150)""")
 
 
 def _betweenness(levels: int) -> str:
-    parts = [LOTS.strip(), "l0 AS MATERIALIZED (SELECT DISTINCT s, s AS v, 1.0::double AS paths FROM e)",
+    parts = ["l0 AS MATERIALIZED (SELECT DISTINCT s, s AS v, 1.0::double AS paths FROM e)",
              "v0 AS MATERIALIZED (SELECT s, v FROM l0)"]
     for k in range(1, levels + 1):
         parts.append(f"""
@@ -339,9 +340,10 @@ b{k} AS MATERIALIZED (
     SELECT b.s, e.s AS v, sum((1 + b.share) / b.paths) AS pp FROM b{k + 1} b JOIN e ON e.d = b.v GROUP BY 1, 2) a
   ON l.s = a.s AND l.v = a.v)""")
     union = " UNION ALL ".join(f"SELECT v, share FROM b{k}" for k in range(1, levels + 1))
-    return "WITH " + ",".join(parts) + f"""
-SELECT node, round(coalesce(t, 0.0), 4) AS betweenness
-FROM nodes LEFT JOIN (SELECT v, sum(share) AS t FROM ({union}) GROUP BY v) ON v = node"""
+    parts.append(f"""
+central AS MATERIALIZED (
+  SELECT node, coalesce(t, 0.0) AS betweenness FROM nodes LEFT JOIN (SELECT v, sum(share) AS t FROM ({union}) GROUP BY v) ON v = node)""")
+    return ",".join(parts)
 
 
 def _fastrp() -> str:
@@ -349,7 +351,7 @@ def _fastrp() -> str:
     face = [_draw("node", str(i), str(_SEED)) + " % 6" for i in dim]
     start = ", ".join(
         f"CASE {f} WHEN 0 THEN sqrt(3.0) WHEN 1 THEN -sqrt(3.0) ELSE 0.0 END AS v{i}" for i, f in zip(dim, face))
-    parts = [LOTS.strip(), f"r0 AS MATERIALIZED (SELECT node, {start} FROM nodes)"]
+    parts = [f"r0 AS MATERIALIZED (SELECT node, {start} FROM nodes)"]
     for r in (1, 2, 3):
         means = ", ".join(f"sum(w * v{i}) / sum(w) AS m{i}" for i in dim)
         norm = "sqrt(" + " + ".join(f"m{i} * m{i}" for i in dim) + ")"
@@ -358,8 +360,34 @@ def _fastrp() -> str:
 r{r} AS MATERIALIZED (
   SELECT node, {unit} FROM nodes LEFT JOIN (
     SELECT *, {norm} AS z FROM (SELECT e.s, {means} FROM e JOIN r{r - 1} ON node = e.d GROUP BY e.s)) ON s = node)""")
-    cols = ", ".join(_r(f"r2.v{i} + r3.v{i}", f"e{i}") for i in dim)
-    return "WITH " + ",".join(parts) + f" SELECT node, {cols} FROM r2 JOIN r3 USING (node)"
+    cols = ", ".join(f"r2.v{i} + r3.v{i} AS e{i}" for i in dim)
+    return ",".join([*parts, f"""
+embedded AS MATERIALIZED (SELECT node, {cols} FROM r2 JOIN r3 USING (node))"""])
+
+
+# The published context: profiles, ranks, centrality, rings and vectors of all customers, filled, scaled and scored.
+REFRESHED = """
+linked AS (
+  SELECT node, pagerank, betweenness, in_wash_ring, [e0, e1, e2, e3, e4, e5, e6, e7] AS e
+  FROM ranks JOIN central USING (node) JOIN flags USING (node) JOIN embedded USING (node)),
+known AS MATERIALIZED (
+  SELECT wallet_address, historical_tx_count, historical_risk_tier, 0::bigint AS live_tx_count,
+    coalesce(pagerank, 0.0) AS pagerank, coalesce(betweenness, 0.0) AS betweenness, node IS NOT NULL AS in_community,
+    coalesce(in_wash_ring, false) AS in_wash_ring, e
+  FROM profiles LEFT JOIN linked ON node = wallet_address),
+middle AS (
+  SELECT list(m ORDER BY i) AS c FROM (
+    SELECT i, avg(x) AS m FROM (SELECT generate_subscripts(e, 1) AS i, unnest(e) AS x FROM known WHERE e IS NOT NULL) GROUP BY i)),
+apart AS MATERIALIZED (SELECT known.*, list_distance(e, c) AS dist FROM known, middle),
+ends AS (
+  SELECT min(pagerank) AS p0, max(pagerank) AS p1, min(betweenness) AS b0, max(betweenness) AS b1, min(dist) AS d0, max(dist) AS d1
+  FROM apart)
+SELECT wallet_address, historical_tx_count, historical_risk_tier, live_tx_count, round(pagerank, 6) AS pagerank,
+  round(betweenness, 4) AS betweenness, in_community, in_wash_ring,
+  round(least(1.0, 0.4 * (pagerank - p0) / (p1 - p0) + 0.3 * (betweenness - b0) / (b1 - b0)
+    + CASE WHEN in_wash_ring THEN 0.3 ELSE 0.0 END), 5) AS graph_risk_score,
+  round(coalesce((dist - d0) / (d1 - d0), 0.0), 5) AS structural_novelty_score
+FROM apart, ends"""
 
 
 def _louvain_rounds() -> str:
@@ -475,6 +503,9 @@ SELECT coalesce(p.wallet_address, a.wallet_address) AS wallet_address,
 FROM activity a FULL JOIN profiles p ON a.wallet_address = p.wallet_address""",
     "wallet_activity": _with(PURCHASES, _activity("purchases")) + f"""
 SELECT wallet_address, {_ts('seen_first')} AS first_seen_ts, {_ts('seen_last')} AS last_seen_ts, live_tx_count
+FROM activity""",
+    "wallet_activity_merged": _with(PURCHASES, _activity("purchases")) + f"""
+SELECT wallet_address, {_ts('seen_first')} AS first_seen_ts, {_ts('seen_last')} AS last_seen_ts, live_tx_count
 FROM activity""",
     "wallet_table": _with(EVENTS, _activity("ev"), _profiles("w")) + f"""
 SELECT coalesce(p.wallet_address, a.wallet_address) AS wallet_address,
@@ -505,6 +536,10 @@ SELECT 'active' AS status, sum(groups_updated)::bigint AS total_processed, sum(a
 FROM batches""",
     "recent_batch_rows": VERSIONS + f" SELECT {_edge_cols(', batch_id')} FROM recent",
     "stream_detection": f"{WIN} SELECT {_edge_cols()} FROM win_judged",
+    "stream_detection_scored": SCORED + """
+SELECT wallet_address, to_wallet, window_start, w.tx_count, round(ml_score, 4) + 0.0 AS ml_score, ml_score < 0 AS ml_anomaly,
+  coalesce(rule_reason, CASE WHEN ml_score < 0 THEN 'ML_ISOLATION_FOREST_ANOMALY' END) AS anomaly_reason
+FROM scored s JOIN win_judged w USING (wallet_address, to_wallet, window_start)""",
     "recent_edges": f"""{WIN}
 SELECT wallet_address AS from_wallet, to_wallet, {_r('total', 'amount_usd', 2)}, rule_reason AS anomaly_reason,
   {_ts('last_seen')} AS timestamp FROM win_judged {_NEWEST} LIMIT 150""",
@@ -583,8 +618,15 @@ t AS (
 x AS (SELECT min(pagerank) AS p0, max(pagerank) AS p1, min(b) AS b0, max(b) AS b1 FROM t)""") + """
 SELECT node, round(least(1.0, 0.4 * (pagerank - p0) / (p1 - p0) + 0.3 * (b - b0) / (b1 - b0)
   + CASE WHEN in_wash_ring THEN 0.3 ELSE 0.0 END), 6) AS graph_risk_score FROM t, x""",
-    "betweenness": _betweenness(24),
-    "fastrp": _fastrp(),
+    "betweenness": _with(LOTS, _betweenness(24)) + " SELECT node, round(betweenness, 4) AS betweenness FROM central",
+    "betweenness_bound": _with(LOTS, _betweenness(24)) + " SELECT node, round(betweenness, 4) AS betweenness, true AS within FROM central",
+    "pagerank_updated": _with(LOTS, _pagerank(45, SETTLED_DAMPING)) + " SELECT node, round(pagerank, 4) AS pagerank FROM ranks",
+    "rings_updated": _with_recursive(LOTS, RINGS) + f" SELECT {_RING_COLS} FROM rings",
+    "refreshed_context": _with_recursive(
+        LOTS, RINGS, FLAGS, _pagerank(20), _profiles("cu"), _betweenness(24), _fastrp()) + "," + REFRESHED,
+    "fastrp": _with(LOTS, _fastrp()) + " SELECT node, " + ", ".join(_r(f"e{i}", f"e{i}") for i in range(8)) + " FROM embedded",
+    "louvain_faults": _with(LOTS) + """
+SELECT count(*) AS n_wallets, 0::bigint AS n_gaining, 0::bigint AS n_split, 0::bigint AS n_fallen, true AS matches FROM nodes""",
     "louvain_two_rounds": LOUVAIN + " SELECT node, community FROM g2",
     "modularity": LOUVAIN + """
 SELECT round(sum(i) / sum(t) - sum(t * t) / (sum(t) * sum(t)), 6) AS modularity FROM (

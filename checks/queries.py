@@ -9,20 +9,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringwatch.config import FEATURES, RuleConfig, WindowConfig
+from ringwatch.functions.scalars import unit_draw
 from ringwatch.operators import evaluate as ev
 from ringwatch.operators import forest as forests
 from ringwatch.operators import store
+from ringwatch.operators.activity import ActivityStore
 from ringwatch.operators.enrich import build_context, enrich, graph_risk, structural_novelty
 from ringwatch.operators.graph import louvain as lv
-from ringwatch.operators.graph.betweenness import betweenness
+from ringwatch.operators.graph.betweenness import betweenness, sampled_betweenness
 from ringwatch.operators.graph.fastrp import fastrp
-from ringwatch.operators.graph.pagerank import pagerank
+from ringwatch.operators.graph.pagerank import pagerank, settled_ranks, update_ranks
 from ringwatch.operators.graph.project import TransferGraph, collapse, distinct_pairs, node_set, sent_as_edges
-from ringwatch.operators.graph.rings import find_rings, first_rings, ring_flags
+from ringwatch.operators.graph.rings import find_rings, first_rings, ring_flags, with_new_rings
 from ringwatch.operators.quantile import exact_quantile
 from ringwatch.operators.rules import apply_rules, verdict, without_model
 from ringwatch.operators.windows import pair_windows, pair_windows_by_pane
 from ringwatch.plans import views
+from ringwatch.plans.refresh import refresh_graph
 from ringwatch.schema import TRANSFER
 from ringwatch.session import cut, scratch_path
 from ringwatch.sources import profiles, tables
@@ -36,6 +39,7 @@ DAY = 86_400
 FOREST = forests.ForestConfig(trees=50, rows_per_tree=256, height=8)
 SPLIT_TIME = "2024-01-15 00:00:00"
 PAGERANK_ROUNDS = 10
+SETTLED_DAMPING = 0.5
 
 _memo: dict[tuple, object] = {}
 
@@ -142,6 +146,19 @@ def wallet_activity(spark, d):
         "wallet_address", _text("first_seen_ts"), _text("last_seen_ts"), "live_tx_count")
 
 
+def wallet_activity_merged(spark, d):
+    """The same from batches counted one by one: three months' sales, a batch that repeats a part of the first, and
+    the second once more."""
+    kept = ActivityStore(spark, scratch_path(spark, "activity"), buckets=8)
+    transfers = cut(tables.purchase_transfers(spark, d))
+    third = F.pmod(F.month("timestamp"), F.lit(3))
+    batches = [transfers.filter(third == i) for i in range(3)]
+    batches.append(batches[0].filter(F.dayofmonth("timestamp") <= 10))
+    for batch_id in (0, 1, 2, 3, 1):
+        kept.add(batches[batch_id], batch_id)
+    return kept.activity().select("wallet_address", _text("first_seen_ts"), _text("last_seen_ts"), "live_tx_count")
+
+
 def wallet_table(spark, d):
     activity = store.wallet_activity(tables.event_transfers(spark, d))
     return store.wallet_table(activity, tables.customer_profiles(spark, d)).select(
@@ -212,6 +229,20 @@ def stream_detection(spark, d):
     return _edge_columns(store.current_edges(detect.stored_edges(spark, settings)))
 
 
+def stream_detection_scored(spark, d):
+    """The streaming job with context and model: what it stores of every window in the end."""
+    source, root = scratch_path(spark, "payloads"), scratch_path(spark, "detection")
+    settings = detect.Settings(root, RULES, WINDOWS, graph_root=f"{root}/graph", trigger={"availableNow": True})
+    store.save_snapshot(_context(spark, d), f"{root}/graph/context", 1)
+    t = tables.event_transfers(spark, d)
+    json = F.to_json(F.struct(*TRANSFER.fieldNames()), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    t.select("timestamp", json.alias("value")).repartitionByRange(4, "timestamp").select("value").write.text(source)
+    good, _ = split_rejects(decode(read_stream(spark, "text", source, maxFilesPerTrigger="1")))
+    detect.start_detection(good, settings, _model(spark, d)[1]).awaitTermination()
+    edges = store.current_edges(detect.stored_edges(spark, settings))
+    return edges.select(*store.EDGE_KEY, "tx_count", _r("ml_score", places=4), "ml_anomaly", "anomaly_reason")
+
+
 def recent_edges(spark, d):
     sent = store.sent_rows(without_model(_judged(spark, d)))
     return views.recent_edges(sent).select(
@@ -439,6 +470,45 @@ def betweenness_query(spark, d):
     return betweenness(_graph(spark, d)).select("node", _r("betweenness", places=4))
 
 
+def betweenness_bound(spark, d):
+    """Whether the estimate from a part of the sources keeps its promise for each wallet."""
+    exact = betweenness(_graph(spark, d)).withColumnRenamed("betweenness", "exact")
+    return sampled_betweenness(_graph(spark, d), error=0.3).join(exact, "node").select(
+        "node", _r("exact", "betweenness", 4), (F.abs(F.col("betweenness") - F.col("exact")) <= F.col("bound") + 1e-6).alias("within"))
+
+
+def pagerank_updated(spark, d):
+    """Ranks settled on most edges, then updated by the rest."""
+    pairs = _graph(spark, d).pairs
+    before = TransferGraph.of_pairs(pairs.filter(unit_draw(F.col("src"), F.col("dst"), "old") >= 0.01))
+    state = settled_ranks(before, damping=SETTLED_DAMPING, least=1e-8)
+    updated, _ = update_ranks(state, before.pairs, _graph(spark, d), damping=SETTLED_DAMPING, least=1e-8)
+    return updated.select("node", _r("pagerank", places=4))
+
+
+def rings_updated(spark, d):
+    """Rings of most edges, and those that the rest closes."""
+    pairs = _graph(spark, d).pairs
+    old = unit_draw(F.col("src"), F.col("dst"), "old") >= 0.05
+    before, added = pairs.filter(old), pairs.filter(~old)
+    return with_new_rings(find_rings(before, "simple"), before, added, "simple").select(
+        "ring_id", "ring_key", "start_address", "ring_length")
+
+
+def refreshed_context(spark, d):
+    """The whole refresh: all graph results on the stored transfers, published as a snapshot and read back."""
+    root = scratch_path(spark, "refresh")
+    sent = tables.lot_edges(spark, d).select(
+        F.col("src").alias("wallet_address"), F.col("dst").alias("to_wallet"), F.col("w").alias("amount_usd"))
+    wallets = tables.customer_profiles(spark, d, "cu").withColumn("live_tx_count", F.lit(None).cast("long"))
+    refresh_graph(sent, wallets, root, version=1, ring_mode="simple")
+    context, _ = store.current_snapshot(spark, f"{root}/context")
+    return context.select(
+        "wallet_address", "historical_tx_count", "historical_risk_tier", "live_tx_count", _r("pagerank"), _r("betweenness", places=4),
+        (F.col("community_id") >= 0).alias("in_community"), "in_wash_ring", _r("graph_risk_score", places=5),
+        _r("structural_novelty_score", places=5))
+
+
 def fastrp_query(spark, d):
     e = fastrp(_graph(spark, d))
     return e.select("node", *[_r(F.get("embedding", F.lit(i)), f"e{i}") for i in range(8)])
@@ -463,8 +533,17 @@ def modularity(spark, d):
     return lv.modularity_frame(*_two_rounds(spark, d)).select(_r("modularity"))
 
 
+def _communities(spark, d) -> tuple[DataFrame, DataFrame]:
+    return _once("communities", spark, d, lambda: lv.communities(_graph(spark, d)))
+
+
 def louvain(spark, d):
-    return lv.louvain(_graph(spark, d))
+    return lv.numbered(_communities(spark, d)[0])
+
+
+def louvain_faults(spark, d):
+    """What must hold of the communities: none in pieces, no wallet better off elsewhere, no state worse than the one before."""
+    return lv.faults(_graph(spark, d), *_communities(spark, d))
 
 
 # --- evaluation --------------------------------------------------------------------------------
@@ -526,6 +605,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_scan": profile_scan,
     "profile_upsert": profile_upsert,
     "wallet_activity": wallet_activity,
+    "wallet_activity_merged": wallet_activity_merged,
     "wallet_table": wallet_table,
     "missing_receivers": missing_receivers,
     "key_duplicates": key_duplicates,
@@ -534,6 +614,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_summary": metrics_summary,
     "recent_batch_rows": recent_batch_rows,
     "stream_detection": stream_detection,
+    "stream_detection_scored": stream_detection_scored,
     "recent_edges": recent_edges,
     "transaction_listing": transaction_listing,
     "wallet_context": wallet_context,
@@ -563,10 +644,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "draw_edges": draw_edges,
     "graph_risk": graph_risk_query,
     "betweenness": betweenness_query,
+    "betweenness_bound": betweenness_bound,
+    "pagerank_updated": pagerank_updated,
+    "rings_updated": rings_updated,
+    "refreshed_context": refreshed_context,
     "fastrp": fastrp_query,
     "louvain_two_rounds": louvain_two_rounds,
     "modularity": modularity,
     "louvain": louvain,
+    "louvain_faults": louvain_faults,
     "confusion": confusion,
     "detector_report": detector_report,
     "latest_labelled": latest_labelled,

@@ -46,3 +46,7 @@ BROADCAST_ROWS = 2_000_000
 
 # Edges of one wallet beyond this number are split over several slots.
 SLOT_EDGES = 250_000
+
+# Senders with at least this many live transfers are dealt over so many tasks where their context is not broadcast.
+BUSY_TRANSFERS = 1_000_000
+BUSY_SLOTS = 32

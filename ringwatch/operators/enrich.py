@@ -7,9 +7,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringwatch.config import BROADCAST_ROWS, UNKNOWN_TIER
+from ringwatch.config import BROADCAST_ROWS, BUSY_SLOTS, BUSY_TRANSFERS, UNKNOWN_TIER
 from ringwatch.functions.scalars import l2_distance, min_max
 from ringwatch.schema import CONTEXT
+from ringwatch.session import cut
 
 
 def structural_novelty(df: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -62,15 +63,28 @@ def build_context(wallets: DataFrame) -> DataFrame:
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` is measured to have at most ``max_rows`` rows."""
-    return df.count() <= max_rows
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def enrich(rows: DataFrame, context: DataFrame, max_rows: int = BROADCAST_ROWS,
-           known_rows: int | None = None) -> DataFrame:
+           known_rows: int | None = None, busy_from: int = BUSY_TRANSFERS, slots: int = BUSY_SLOTS) -> DataFrame:
     """Left join of the sender's context; wallets without one keep NULLs.
 
-    The context is broadcast only when its row count, measured here or recorded with its snapshot,
-    is within ``max_rows``; beyond it Spark shuffles both sides and splits skewed senders.
+    The context is broadcast only when its row count, measured here or recorded with its snapshot, is within
+    ``max_rows``. Beyond it both sides are shuffled, and the rows of busy senders are dealt over ``slots``
+    tasks, each of which gets a copy of their context: a streaming batch with state is planned without the
+    adaptive execution that would split them. Senders are busy from ``busy_from`` live transfers on.
     """
-    small = known_rows <= max_rows if known_rows is not None else fits_broadcast(context, max_rows)
-    return rows.join(F.broadcast(context) if small else context, "wallet_address", "left")
+    if known_rows is None:
+        context = cut(context)
+        known_rows = context.count()
+    if known_rows <= max_rows:
+        return rows.join(F.broadcast(context), "wallet_address", "left")
+    # A sender's transfers are counted, so there cannot be more busy ones than transfers / busy_from.
+    busy = context.filter(F.col("live_tx_count") >= busy_from).select("wallet_address", F.lit(True).alias("_busy"))
+    if fits_broadcast(busy, max_rows):
+        busy = F.broadcast(busy)
+    deal = F.pmod(F.xxhash64("to_wallet", "window_start"), F.lit(slots)).cast("int")
+    dealt = rows.join(busy, "wallet_address", "left").withColumn("_slot", F.when(F.col("_busy"), deal).otherwise(0)).drop("_busy")
+    copies = F.when(F.col("live_tx_count") >= busy_from, F.sequence(F.lit(0), F.lit(slots - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(context.withColumn("_slot", F.explode(copies)), ["wallet_address", "_slot"], "left").drop("_slot")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,21 +24,68 @@ def sent_rows(scored: DataFrame) -> DataFrame:
         "anomaly_reason", "ml_score", "ml_anomaly")
 
 
-def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
-    """Write one batch to its own folder; writing the same batch again replaces it."""
-    rows.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+MANIFEST = "batch_id long, attempt long, path string, kind string, seen long"
 
 
-def read_batches(spark: SparkSession, root: str, schema=SENT) -> DataFrame:
-    """All batches under ``root`` with their ``batch_id``; empty when none was written yet."""
-    if "batch_id" not in schema.fieldNames():
-        schema = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType(), True)])
+def write_batch(rows: DataFrame, root: str, batch_id: int) -> str:
+    """Write one batch as an attempt of its own and then record it; returns the attempt's path.
+
+    Readers see the newest recorded attempt of each batch: one that is still being written, or was broken
+    off, is not seen, and the attempt before stays until the new one is complete.
+    """
+    path, attempt = _attempt(root, batch_id)
+    rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.parquet(path)
+    _record(rows.sparkSession, root, (batch_id, attempt, path, "batch", 0))
+    return path
+
+
+def _attempt(root: str, batch_id: int) -> tuple[str, int]:
+    attempt = time.time_ns()
+    return f"{root}/batch_id={batch_id}/attempt={attempt}", attempt
+
+
+def _record(spark: SparkSession, root: str, row: tuple) -> None:
+    spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}-manifest")
+
+
+def _live(spark: SparkSession, root: str) -> tuple[list, int]:
+    """The recorded attempts that count, and the newest attempt known. There are as many as batches since the last compaction."""
+    if not written(spark, f"{root}-manifest"):
+        return [], 0
+    records = spark.read.schema(MANIFEST).parquet(f"{root}-manifest").orderBy("attempt").collect()
+    compacted = [r for r in records if r["kind"] == "compacted"][-1:]
+    # What a compaction has read it replaces; a batch recorded meanwhile counts beside it.
+    newest = {r["batch_id"]: r for r in records if r["kind"] == "batch" and not any(
+        r["batch_id"] <= c["batch_id"] and r["attempt"] <= c["seen"] for c in compacted)}
+    return [*compacted, *newest.values()], max(r["attempt"] for r in records)
+
+
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder at ``path``."""
     try:
-        return spark.read.schema(schema).parquet(root)
+        spark.read.schema("_ int").parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return False
+    return True
+
+
+def _with_batch(schema: T.StructType) -> T.StructType:
+    if "batch_id" in schema.fieldNames():
+        return schema
+    return T.StructType([*schema.fields, T.StructField("batch_id", T.LongType(), True)])
+
+
+def read_batches(spark: SparkSession, root: str, schema=SENT) -> DataFrame:
+    """All batches under ``root`` with their ``batch_id``; empty when none was written yet."""
+    return _read(spark, _live(spark, root)[0], schema)
+
+
+def _read(spark: SparkSession, records: list, schema: T.StructType) -> DataFrame:
+    if not records:
+        return spark.createDataFrame([], _with_batch(schema))
+    return spark.read.schema(_with_batch(schema)).parquet(*[r["path"] for r in records])
 
 
 def current_edges(versions: DataFrame) -> DataFrame:
@@ -52,14 +101,23 @@ def current_edges(versions: DataFrame) -> DataFrame:
 
 
 def compact(spark: SparkSession, root: str, target: str, up_to: int) -> None:
-    """Rewrite all batches up to ``up_to`` as one batch under a new root.
+    """Rewrite all batches up to ``up_to`` as one, under ``root`` itself or under a new one.
 
-    Later batches are copied as they are; readers switch to ``target`` when the call returns.
+    Under ``root`` the stream may write on: a batch recorded in the meantime is not among what the compaction
+    has read and stays beside it. Under another root the later batches known by now are copied, so the
+    stream has to rest.
     """
-    versions = read_batches(spark, root)
-    old = current_edges(versions.filter(F.col("batch_id") <= up_to)).withColumn("batch_id", F.lit(up_to))
-    new = versions.filter(F.col("batch_id") > up_to)
-    old.unionByName(new).write.mode("overwrite").partitionBy("batch_id").parquet(target)
+    records, seen = _live(spark, root)
+    # An earlier compaction has its newest batch as its number and is rewritten with the rest.
+    old = [r for r in records if r["batch_id"] <= up_to]
+    rows = current_edges(_read(spark, old, SENT)).withColumn("batch_id", F.lit(up_to).cast("long"))
+    path, attempt = _attempt(target, up_to)
+    rows.write.parquet(path)
+    _record(spark, target, (up_to, attempt, path, "compacted", seen))
+    if target != root:
+        for record in records:
+            if record["batch_id"] > up_to:
+                write_batch(_read(spark, [record], SENT), target, record["batch_id"])
 
 
 def wallet_activity(transfers: DataFrame) -> DataFrame:

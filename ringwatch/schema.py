@@ -28,4 +28,6 @@ SENT = _struct(
 BATCH_METRICS = _struct(
     batch_id=_L, status=_S, groups_updated=_L, transactions=_L, anomalies=_L, avg_z_score=_D)
 
+ACTIVITY = _struct(wallet_address=_S, first_seen_ts=_TS, last_seen_ts=_TS, new_tx=_L)
+
 FOREST = _struct(tree=_L, node=_L, feature=_L, split=_D, size=_L, depth=_L)

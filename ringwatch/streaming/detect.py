@@ -15,7 +15,7 @@ from ringwatch.operators.rules import apply_rules, verdict, without_model
 from ringwatch.operators.store import current_snapshot, read_batches, sent_rows, write_batch
 from ringwatch.operators.windows import pair_windows
 from ringwatch.plans import views
-from ringwatch.schema import BATCH_METRICS, CONTEXT, SENT, TRANSFER
+from ringwatch.schema import BATCH_METRICS, CONTEXT, TRANSFER
 from ringwatch.sources.transfers import with_reject_reason
 
 
@@ -52,12 +52,11 @@ def score_batch(rows: DataFrame, settings: Settings, forest: forests.Forest | No
 def process_batch(batch: DataFrame, batch_id: int, settings: Settings, forest: forests.Forest | None) -> None:
     """Store one batch and its metrics. Running it again for the same id replaces both."""
     # Written first and looked at after that, so that the plan with its state and source runs once.
-    write_batch(sent_rows(score_batch(batch, settings, forest)), settings.path("sent"), batch_id)
-    stored = batch.sparkSession.read.schema(SENT).parquet(f"{settings.path('sent')}/batch_id={batch_id}")
+    path = write_batch(sent_rows(score_batch(batch, settings, forest)), settings.path("sent"), batch_id)
+    stored = batch.sparkSession.read.parquet(path)
     if stored.isEmpty():
         return
-    metrics = views.batch_metrics(stored.withColumn("batch_id", F.lit(batch_id).cast("long")))
-    write_batch(metrics.drop("batch_id").coalesce(1), settings.path("metrics"), batch_id)
+    write_batch(views.batch_metrics(stored).coalesce(1), settings.path("metrics"), batch_id)
 
 
 def start_detection(transfers: DataFrame, settings: Settings, forest: forests.Forest | None = None) -> StreamingQuery:

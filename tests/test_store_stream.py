@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ringwatch.config import RuleConfig, WindowConfig
 from ringwatch.operators import evaluate, store
+from ringwatch.operators.activity import ActivityStore
+from ringwatch.operators.enrich import enrich
 from ringwatch.operators.rules import apply_rules, without_model
 from ringwatch.operators.windows import pair_windows
 from ringwatch.plans import views
@@ -168,3 +170,85 @@ def test_json_rendering_and_labels(spark):
     assert json.loads(views.as_json(df).first()["value"])["t"] == "2024-01-01T12:00:00.000Z"
     from ringwatch.functions.scalars import short_address
     assert [r[0] for r in df.select(short_address(F.col("a"))).collect()] == ["0x012345…cdef", "unknown"]
+
+
+def test_a_broken_or_replaced_attempt_is_not_seen(spark, fresh_dir):
+    rows = store.sent_rows(without_model(judged(spark)))
+    root = f"{fresh_dir}/sent"
+    store.write_batch(rows, root, 0)
+    # An attempt that was broken off: files, but no record.
+    rows.write.parquet(f"{root}/batch_id=0/attempt=9")
+    assert store.read_batches(spark, root).count() == rows.count()
+    store.write_batch(rows.limit(3), root, 0)
+    assert store.read_batches(spark, root).count() == 3
+
+
+def test_batches_written_during_a_compaction_stay(spark, fresh_dir, monkeypatch):
+    rows, root = store.sent_rows(without_model(judged(spark))), f"{fresh_dir}/sent"
+    n = rows.count()
+    version = lambda i: rows.withColumn("tx_count", F.lit(i).cast("long"))
+    for i in range(3):
+        store.write_batch(version(i), root, i)
+    plain = store._record
+
+    def late(spark_, root_, row):
+        # While the compaction is being written, batch 3 comes in and batch 1 is written again.
+        monkeypatch.setattr(store, "_record", plain)
+        store.write_batch(version(3), root, 3)
+        store.write_batch(version(1), root, 1)
+        plain(spark_, root_, row)
+
+    monkeypatch.setattr(store, "_record", late)
+    store.compact(spark, root, root, 2)
+    after = store.read_batches(spark, root)
+    assert {r[0] for r in after.select("batch_id").distinct().collect()} == {1, 2, 3}
+    assert {r[0] for r in store.current_edges(after).select("tx_count").distinct().collect()} == {3}
+    store.compact(spark, root, root, 3)
+    assert store.read_batches(spark, root).count() == n
+    store.write_batch(version(4), root, 4)
+    assert {r[0] for r in store.current_edges(store.read_batches(spark, root)).select("tx_count").distinct().collect()} == {4}
+
+
+def test_activity_of_batches_equals_that_of_all_transfers(spark, fresh_dir):
+    hour = lambda h: T0 + dt.timedelta(hours=h)
+    batches = [
+        [("t1", "a", "b", 1.0, 0.0, None, hour(3)), ("t1", "a", "b", 1.0, 0.0, None, hour(3)), ("t2", "a", "c", 1.0, 0.0, None, hour(1))],
+        [("t2", "a", "c", 1.0, 0.0, None, hour(1)), ("t3", "a", "b", 1.0, 0.0, None, hour(5)), (None, "d", "a", 1.0, 0.0, None, None)],
+        [("t1", "c", "a", 1.0, 0.0, None, hour(0)), ("t4", "e", "e", 1.0, 0.0, None, hour(9))], []]
+    frames = [spark.createDataFrame(b, TRANSFER) for b in batches]
+    kept = ActivityStore(spark, f"{fresh_dir}/activity", buckets=3)
+    assert kept.activity().isEmpty()
+    for batch_id in (0, 1, 2, 1, 3, 0):  # two of them are replayed
+        kept.add(frames[batch_id], batch_id)
+    key = lambda r: str(r)
+    whole = store.wallet_activity(frames[0].union(frames[1]).union(frames[2]))
+    columns = ["wallet_address", "first_seen_ts", "last_seen_ts", "live_tx_count"]
+    assert sorted(map(tuple, kept.activity().select(*columns).collect()), key=key) == sorted(
+        map(tuple, whole.select(*columns).collect()), key=key)
+    # A batch that comes again with less takes back what it had counted; the table is found by another session's store.
+    spark.sql(f"DROP TABLE {kept._counted()}")
+    ActivityStore(spark, f"{fresh_dir}/activity", buckets=3).add(frames[1].limit(0), 1)
+    assert {r["wallet_address"]: r["live_tx_count"] for r in kept.activity().collect()}["a"] == 2
+
+
+def test_counted_transfers_stay_in_their_buckets(spark, fresh_dir):
+    kept = ActivityStore(spark, f"{fresh_dir}/activity", buckets=3)
+    rows = spark.createDataFrame([("t1", "a", "b", 1.0, 0.0, None, T0)], TRANSFER)
+    kept.add(rows, 0)
+    table = spark.table(kept._counted())
+    joined = rows.select("wallet_address", "tx_id").distinct().join(table.hint("merge"), ["wallet_address", "tx_id"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    stored = plan[plan.rindex("+- Sort"):]  # the right side of the join
+    assert "SortMergeJoin" in plan and "SelectedBucketsCount: 3 out of 3" in stored and "Exchange" not in stored
+
+
+def test_busy_senders_are_dealt_over_slots_beyond_the_broadcast(spark):
+    batch = judged(spark, 40)
+    context = spark.createDataFrame(
+        [("w0", 1, "low", 9, 0.5, 0.0, 3, True, 0.9, 0.1), ("w1", 1, "low", 2, 0.4, 0.0, 3, True, 0.8, 0.1), ("x", 1, "low", 9, 0.5, 0.0, 3, True, 0.9, 0.1)],
+        CONTEXT)
+    known = enrich(batch, context)
+    dealt = enrich(batch, context, max_rows=0, busy_from=5, slots=4)
+    assert dealt.columns == known.columns and "_slot" in dealt._jdf.queryExecution().toString()
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, known.collect()))
+    assert not enrich(batch, context.limit(0), max_rows=0).filter("graph_risk_score IS NOT NULL").count()
