@@ -444,6 +444,21 @@ said AS (
   SELECT 'rule_based' AS detector, y, a AS p FROM lab UNION ALL SELECT 'isolation_forest', y, b FROM lab
   UNION ALL SELECT 'combined', y, greatest(a, b) FROM lab)
 """
+# A transfer is judged by the six windows that start on its day or on one of the five days before.
+TRANSFER_CELLS = f"""
+judged AS MATERIALIZED (
+  SELECT wallet_address, to_wallet, window_start, (w.rule_reason IS NOT NULL)::int AS a, coalesce(s.ml_score < 0, false)::int AS b
+  FROM scored s JOIN win_judged w USING (wallet_address, to_wallet, window_start)),
+lab AS (
+  SELECT (any_value(label) <> 'normal')::int AS y, coalesce(max(a), 0) AS a, coalesce(max(b), 0) AS b
+  FROM (SELECT ev.*, row_number() OVER () AS r, t.k FROM ev, unnest(range(0, 6)) AS t(k)) x LEFT JOIN judged j
+  ON j.wallet_address = x.wallet_address AND j.to_wallet = x.to_wallet
+    AND j.window_start = {_ts(f'make_timestamp((floor(epoch_us(ts) / {_US_DAY}.0)::bigint - k) * {_US_DAY})')}
+  WHERE label IS NOT NULL GROUP BY tx_id),
+said AS (
+  SELECT 'rule_based' AS detector, y, a AS p FROM lab UNION ALL SELECT 'isolation_forest', y, b FROM lab
+  UNION ALL SELECT 'combined', y, greatest(a, b) FROM lab)
+"""
 MATRIX = """
 matrix AS (
   SELECT detector, count(*) FILTER (y = 0 AND p = 0) AS tn, count(*) FILTER (y = 0 AND p = 1) AS fp,
@@ -640,5 +655,6 @@ SELECT window_start, wallet_address, to_wallet, true_label, (true_label <> 'norm
 FROM win_judged WHERE true_label IS NOT NULL {_NEWEST} LIMIT 2000""",
     "window_report": _with(WINDOW_CELLS, REPORT) + _REPORT_OUT,
     "window_report_scored": SCORED + "," + SCORED_CELLS + "," + REPORT + _REPORT_OUT,
+    "transfer_report": SCORED + "," + TRANSFER_CELLS + "," + REPORT + _REPORT_OUT,
     "label_counts": f"{WIN} SELECT true_label, count(*) AS n FROM win GROUP BY 1",
 }

@@ -590,6 +590,13 @@ def window_report_scored(spark, d):
     return ev.evaluate(edges)[2].withColumn("value", F.round("value", 6))
 
 
+def transfer_report(spark, d):
+    """Rules, model and both against the labels of all transfers, each judged by the windows that cover it."""
+    marked = _judged(spark, d).select(*store.EDGE_KEY, "rule_reason")
+    edges = verdict(_scored(spark, d).select(*store.EDGE_KEY, "ml_score").join(marked, store.EDGE_KEY))
+    return ev.evaluate_transfers(tables.event_transfers(spark, d), edges, 6 * DAY, DAY).withColumn("value", F.round("value", 6))
+
+
 def label_counts(spark, d):
     return ev.evaluate(_window_edges(spark, d), limit=None)[0]
 
@@ -658,5 +665,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_labelled": latest_labelled,
     "window_report": window_report,
     "window_report_scored": window_report_scored,
+    "transfer_report": transfer_report,
     "label_counts": label_counts,
 }

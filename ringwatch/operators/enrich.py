@@ -73,13 +73,16 @@ def enrich(rows: DataFrame, context: DataFrame, max_rows: int = BROADCAST_ROWS,
     The context is broadcast only when its row count, measured here or recorded with its snapshot, is within
     ``max_rows``. Beyond it both sides are shuffled, and the rows of busy senders are dealt over ``slots``
     tasks, each of which gets a copy of their context: a streaming batch with state is planned without the
-    adaptive execution that would split them. Senders are busy from ``busy_from`` live transfers on.
+    adaptive execution that would split them. Senders are busy from ``busy_from`` live transfers on; without
+    that column, or the columns that tell windows apart, splitting is left to adaptive execution.
     """
     if known_rows is None:
         context = cut(context)
         known_rows = context.count()
     if known_rows <= max_rows:
         return rows.join(F.broadcast(context), "wallet_address", "left")
+    if "live_tx_count" not in context.columns or not {"to_wallet", "window_start"} <= set(rows.columns):
+        return rows.join(context, "wallet_address", "left")
     # A sender's transfers are counted, so there cannot be more busy ones than transfers / busy_from.
     busy = context.filter(F.col("live_tx_count") >= busy_from).select("wallet_address", F.lit(True).alias("_busy"))
     if fits_broadcast(busy, max_rows):

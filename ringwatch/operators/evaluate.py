@@ -28,6 +28,39 @@ def with_indicators(edges: DataFrame) -> DataFrame:
         "y_combined": F.when(reason.isNotNull() & (reason != ""), 1).otherwise(0)})
 
 
+def transfer_verdicts(transfers: DataFrame, edges: DataFrame, size_seconds: int, slide_seconds: int) -> DataFrame:
+    """Every labelled transfer once, with the verdicts of all windows that cover it: (tx_id, wallet_address, to_wallet,
+    timestamp, true_label, anomaly_reason, ml_anomaly), in the shape ``with_indicators`` takes.
+
+    A transfer counts as found by the rules if any of its windows was, and as found by the model likewise; of
+    several reasons a rule's goes first, by name. A window ends where a pane does, so windows and transfers
+    meet on sender, receiver and pane by equality. Only windows with a verdict are spread over their panes,
+    and their verdicts are put together per pane before the join, so a pair's busiest pane is one row there.
+    """
+    if size_seconds % slide_seconds:
+        raise ValueError("size must be a multiple of slide")
+    rule = F.col("anomaly_reason").isNotNull() & (F.col("anomaly_reason") != "") & (F.col("anomaly_reason") != REASON_ML)
+    first = (F.unix_seconds(F.to_timestamp("window_start")) / F.lit(slide_seconds)).cast("long")
+    said = edges.filter(rule | F.col("ml_anomaly")).select(
+        "wallet_address", "to_wallet", F.explode(F.sequence(first, first + F.lit(size_seconds // slide_seconds - 1))).alias("_pane"),
+        F.when(rule, F.col("anomaly_reason")).alias("_rule"), F.coalesce("ml_anomaly", F.lit(False)).alias("_ml"))
+    panes = said.groupBy("wallet_address", "to_wallet", "_pane").agg(F.min("_rule").alias("_rule"), F.max("_ml").alias("_ml"))
+    pane = F.floor(F.unix_seconds("timestamp") / F.lit(slide_seconds)).alias("_pane")
+    labelled = transfers.filter(F.col("true_label").isNotNull()).select(
+        "tx_id", "wallet_address", "to_wallet", "timestamp", "true_label", pane)
+    met = labelled.join(panes, ["wallet_address", "to_wallet", "_pane"], "left")
+    found = F.coalesce("_ml", F.lit(False))
+    return met.select(
+        "tx_id", "wallet_address", "to_wallet", "timestamp", "true_label",
+        F.coalesce("_rule", F.when(found, REASON_ML)).alias("anomaly_reason"), found.alias("ml_anomaly"))
+
+
+def evaluate_transfers(transfers: DataFrame, edges: DataFrame, size_seconds: int, slide_seconds: int) -> DataFrame:
+    """The report per transfer: its support is the number of labelled transfers, not of windows."""
+    marked = with_indicators(transfer_verdicts(transfers, edges, size_seconds, slide_seconds))
+    return report(confusion(marked, {"rule_based": "y_rule", "isolation_forest": "y_ml", "combined": "y_combined"}))
+
+
 def confusion(df: DataFrame, detectors: dict[str, str], truth: str = "y_true") -> DataFrame:
     """Per detector: tn, fp, fn, tp. All detectors are counted in one pass over the rows."""
     def cell(pred: str, actual: int, said: int) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ringwatch.config import UNKNOWN_TIER
 from ringwatch.functions.scalars import short_address
+from ringwatch.operators.distinct import bits_of, count_of
 
 RECENT_ROWS = 50
 SHOWN_ROWS = 20
@@ -113,14 +114,15 @@ def tier_counts(wallets: DataFrame) -> DataFrame:
 def graph_summary(wallets: DataFrame, sent: DataFrame) -> DataFrame:
     """Wallets, edges sent by them, ring members and communities.
 
-    Edges are counted per sender before the join, so a busy sender meets its wallet as one row.
+    Edges are counted per sender before the join, so a busy sender meets its wallet as one row. Communities
+    are numbers and are counted by bitmaps.
     """
     sends = sent.groupBy("wallet_address").agg(F.count(F.lit(1)).alias("n_edges"))
+    communities = count_of(bits_of(wallets, "community_id")).scalar()
     return wallets.join(sends, "wallet_address", "left").agg(
         F.count(F.lit(1)).alias("wallet_count"),
         F.coalesce(F.sum("n_edges"), F.lit(0)).alias("edge_count"),
-        F.count_if("in_wash_ring").alias("ring_wallet_count"),
-        F.count_distinct("community_id").alias("community_count"))
+        F.count_if("in_wash_ring").alias("ring_wallet_count")).withColumn("community_count", communities)
 
 
 def draw_nodes(top: DataFrame, rings: DataFrame, edges: DataFrame) -> DataFrame:

@@ -100,3 +100,23 @@ def test_training_features_fill_gaps(spark):
     for max_rows in (10, 0):
         row = forests.training_features(sent_rows(without_model(windows)), context, max_rows).first()
         assert [row[c] for c in ("z_score", "tx_count", "avg_gas_fee", "graph_risk_score")] == [0.0, 3.0, 0.0, 0.0]
+
+
+@pytest.mark.parametrize("name, values", [
+    ("whole numbers", [float(i % 7) for i in range(900)]), ("one value", [3.0] * 500), ("two values", [1.0] * 300 + [2.0] * 299),
+    ("far apart", [10.0 ** (i % 300) for i in range(1200)]), ("one row", [4.0]),
+    ("nearly all equal", [5.0] * 2000 + [float(i) for i in range(60)])])
+def test_quantile_on_any_skew(spark, name, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    for q in (0.0, 0.02, 0.5, 0.997, 1.0):
+        for small in (50, 10_000):
+            assert exact_quantile(df, "v", q, small) == pytest.approx(np.quantile(values, q), rel=1e-12), (name, q, small)
+
+
+def test_quantile_scans_twice_where_few_rows_lie_near(spark, monkeypatch):
+    scans = []
+    plain = type(spark.range(1)).agg
+    monkeypatch.setattr(type(spark.range(1)), "agg", lambda self, *a: scans.append(1) or plain(self, *a))
+    df = spark.range(20_000).selectExpr("pow(1.001, id) as v")
+    assert exact_quantile(df, "v", 0.3, small=2000) == pytest.approx(1.001 ** 5999.7, rel=1e-3)
+    assert len(scans) <= 4  # sketch, count, the value behind the bracket; the ladder reads the bracket alone

@@ -100,3 +100,45 @@ def test_decode_and_rejects(spark):
 def test_amount_floor(spark):
     df = spark.createDataFrame([(0.2,), (3.0,)], "amount_usd double")
     assert [r[0] for r in floor_amounts(df).collect()] == [1.0, 3.0]
+
+
+def test_transfers_are_judged_by_the_windows_that_cover_them(spark):
+    """Against a walk over all windows of each transfer."""
+    import datetime as dt
+    import random
+
+    from ringwatch.operators import evaluate
+
+    rng, start = random.Random(4), dt.datetime(2024, 1, 1, 12, 0, 0)
+    transfers = [(f"t{i}", f"w{rng.randrange(3)}", rng.choice(["c", "d"]), start + dt.timedelta(seconds=rng.randrange(300)),
+                  rng.choice(["normal", "odd", None])) for i in range(150)] + [("edge", "w0", "c", start, "odd")]
+    edges = {}
+    for second in range(-60, 300, 10):
+        for w in ("w0", "w1", "w2"):
+            for c in ("c", "d"):
+                reason = rng.choice([None] * 9 + ["A_RULE", "B_RULE", "ML_ISOLATION_FOREST_ANOMALY", ""])
+                edges[w, c, start + dt.timedelta(seconds=second)] = (reason, reason is not None and reason.startswith("ML") or rng.random() < 0.05)
+    rows = [(w, c, at.strftime("%Y-%m-%d %H:%M:%S"), *said) for (w, c, at), said in edges.items()]
+    got = evaluate.transfer_verdicts(
+        spark.createDataFrame(transfers, "tx_id string, wallet_address string, to_wallet string, timestamp timestamp, true_label string"),
+        spark.createDataFrame(rows, "wallet_address string, to_wallet string, window_start string, anomaly_reason string, ml_anomaly boolean"),
+        60, 10).collect()
+    wanted = {}
+    for tx, w, c, at, label in transfers:
+        if label is None:
+            continue
+        over = [s for (x, y, begin), s in edges.items() if (x, y) == (w, c) and begin <= at < begin + dt.timedelta(seconds=60)]
+        rules = sorted(r for r, _ in over if r and not r.startswith("ML"))
+        model = any(m for _, m in over)
+        wanted[tx] = (rules[0] if rules else "ML_ISOLATION_FOREST_ANOMALY" if model else None, model)
+    assert {r["tx_id"]: (r["anomaly_reason"], r["ml_anomaly"]) for r in got} == wanted and len(got) == len(wanted)
+
+
+def test_distinct_counts_by_bitmaps_merge(spark):
+    from ringwatch.operators.distinct import bits_of, count_of, merged
+
+    numbers = [None, 0, 1, 5, 5, 32_767, 32_768, 32_769, 10**12, 10**12 + 1]
+    one = bits_of(spark.createDataFrame([(n,) for n in numbers], "n long"), "n")
+    two = bits_of(spark.createDataFrame([(n,) for n in (5, 7, 10**12)], "n long"), "n")
+    assert count_of(one).first()["n"] == 8 and count_of(merged(one, two)).first()["n"] == 9
+    assert count_of(merged(one, one, two, two)).first()["n"] == 9 and count_of(one.limit(0)).first()["n"] == 0
