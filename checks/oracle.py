@@ -551,6 +551,7 @@ SELECT 'active' AS status, sum(groups_updated)::bigint AS total_processed, sum(a
 FROM batches""",
     "recent_batch_rows": VERSIONS + f" SELECT {_edge_cols(', batch_id')} FROM recent",
     "stream_detection": f"{WIN} SELECT {_edge_cols()} FROM win_judged",
+    "stream_detection_final": f"{WIN} SELECT {_edge_cols()} FROM win_judged",
     "stream_detection_scored": SCORED + """
 SELECT wallet_address, to_wallet, window_start, w.tx_count, round(ml_score, 4) + 0.0 AS ml_score, ml_score < 0 AS ml_anomaly,
   coalesce(rule_reason, CASE WHEN ml_score < 0 THEN 'ML_ISOLATION_FOREST_ANOMALY' END) AS anomaly_reason

@@ -215,29 +215,42 @@ def recent_batch_rows(spark, d):
     return _edge_columns(views.recent_rows(_versions(spark, d)), "batch_id")
 
 
+def _messages(spark, *parts: DataFrame) -> DataFrame:
+    """Transfers as JSON messages, part after part in up to four files each, read as a stream of one file at a time."""
+    source = scratch_path(spark, "payloads")
+    json = F.to_json(F.struct(*TRANSFER.fieldNames()), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    for part in parts:
+        part.select("timestamp", json.alias("value")).repartitionByRange(4, "timestamp").select("value").write.mode("append").text(source)
+    return split_rejects(decode(read_stream(spark, "text", source, maxFilesPerTrigger="1")))[0]
+
+
 def stream_detection(spark, d):
     """The streaming job itself on JSON messages, read in several micro-batches; latest edge versions."""
-    source, root = scratch_path(spark, "payloads"), scratch_path(spark, "detection")
-    t = tables.event_transfers(spark, d)
-    json = F.to_json(F.struct(*TRANSFER.fieldNames()), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
-    t.select("timestamp", json.alias("value")).repartitionByRange(4, "timestamp").select("value").write.text(source)
-    stream = read_stream(spark, "text", source, maxFilesPerTrigger="1")
-    good, _ = split_rejects(decode(stream))
+    good, root = _messages(spark, tables.event_transfers(spark, d)), scratch_path(spark, "detection")
     settings = detect.Settings(root, RULES, WINDOWS, trigger={"availableNow": True})
     query = detect.start_detection(good, settings)
     query.awaitTermination()
     return _edge_columns(store.current_edges(detect.stored_edges(spark, settings)))
 
 
+def stream_detection_final(spark, d):
+    """The streaming job that stores each window once, from panes. A last transfer two months on closes all windows."""
+    t = cut(tables.event_transfers(spark, d))
+    last = t.select(F.max("timestamp").alias("timestamp")).select(
+        F.lit("end").alias("tx_id"), F.lit("end").alias("wallet_address"), F.lit("end").alias("to_wallet"),
+        F.lit(0.0).alias("amount_usd"), F.lit(0.0).alias("gas_fee"), F.lit("normal").alias("true_label"),
+        (F.col("timestamp") + F.expr("INTERVAL 130 DAYS")).alias("timestamp"))
+    settings = detect.Settings(scratch_path(spark, "detection"), RULES, WINDOWS, trigger={"availableNow": True}, final_only=True)
+    detect.start_detection(_messages(spark, t, last), settings).awaitTermination()
+    return _edge_columns(detect.stored_edges(spark, settings).filter("wallet_address <> 'end'"))
+
+
 def stream_detection_scored(spark, d):
     """The streaming job with context and model: what it stores of every window in the end."""
-    source, root = scratch_path(spark, "payloads"), scratch_path(spark, "detection")
+    root = scratch_path(spark, "detection")
     settings = detect.Settings(root, RULES, WINDOWS, graph_root=f"{root}/graph", trigger={"availableNow": True})
     store.save_snapshot(_context(spark, d), f"{root}/graph/context", 1)
-    t = tables.event_transfers(spark, d)
-    json = F.to_json(F.struct(*TRANSFER.fieldNames()), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
-    t.select("timestamp", json.alias("value")).repartitionByRange(4, "timestamp").select("value").write.text(source)
-    good, _ = split_rejects(decode(read_stream(spark, "text", source, maxFilesPerTrigger="1")))
+    good = _messages(spark, tables.event_transfers(spark, d))
     detect.start_detection(good, settings, _model(spark, d)[1]).awaitTermination()
     edges = store.current_edges(detect.stored_edges(spark, settings))
     return edges.select(*store.EDGE_KEY, "tx_count", _r("ml_score", places=4), "ml_anomaly", "anomaly_reason")
@@ -621,6 +634,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_summary": metrics_summary,
     "recent_batch_rows": recent_batch_rows,
     "stream_detection": stream_detection,
+    "stream_detection_final": stream_detection_final,
     "stream_detection_scored": stream_detection_scored,
     "recent_edges": recent_edges,
     "transaction_listing": transaction_listing,

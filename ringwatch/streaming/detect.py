@@ -13,7 +13,7 @@ from ringwatch.operators import forest as forests
 from ringwatch.operators.enrich import enrich
 from ringwatch.operators.rules import apply_rules, verdict, without_model
 from ringwatch.operators.store import current_snapshot, read_batches, sent_rows, write_batch
-from ringwatch.operators.windows import pair_windows
+from ringwatch.operators.windows import final_pair_windows, pair_windows
 from ringwatch.plans import views
 from ringwatch.schema import BATCH_METRICS, CONTEXT, TRANSFER
 from ringwatch.sources.transfers import with_reject_reason
@@ -28,6 +28,7 @@ class Settings:
     windows: WindowConfig = field(default_factory=WindowConfig)
     graph_root: str | None = None
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
+    final_only: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -60,10 +61,16 @@ def process_batch(batch: DataFrame, batch_id: int, settings: Settings, forest: f
 
 
 def start_detection(transfers: DataFrame, settings: Settings, forest: forests.Forest | None = None) -> StreamingQuery:
-    """Windows, rules, context, model and storage for a stream of transfers."""
-    judged = apply_rules(pair_windows(transfers, settings.windows, watermark=True), settings.rules)
+    """Windows, rules, context, model and storage for a stream of transfers.
+
+    Windows are stored anew with every batch that changes them, or, with ``settings.final_only``, once, when
+    they are complete: later, but with a sixth of the state that an event touches and one version of each.
+    """
+    windows = final_pair_windows(transfers, settings.windows) if settings.final_only else pair_windows(
+        transfers, settings.windows, watermark=True)
+    judged = apply_rules(windows, settings.rules)
     return (
-        judged.writeStream.queryName("detection").outputMode("update")
+        judged.writeStream.queryName("detection").outputMode("append" if settings.final_only else "update")
         .option("checkpointLocation", settings.path("checkpoints/detection"))
         .trigger(**settings.trigger)
         .foreachBatch(lambda batch, batch_id: process_batch(batch, batch_id, settings, forest))

@@ -252,3 +252,22 @@ def test_busy_senders_are_dealt_over_slots_beyond_the_broadcast(spark):
     assert dealt.columns == known.columns and "_slot" in dealt._jdf.queryExecution().toString()
     assert sorted(map(str, dealt.collect())) == sorted(map(str, known.collect()))
     assert not enrich(batch, context.limit(0), max_rows=0).filter("graph_risk_score IS NOT NULL").count()
+
+
+def test_final_windows_are_stored_once_and_equal_the_batch(spark, fresh_dir):
+    write_files(f"{fresh_dir}/in", FILES)
+    settings = detect.Settings(f"{fresh_dir}/out", trigger={"availableNow": True}, final_only=True)
+    decoded = decode(read_stream(spark, "text", f"{fresh_dir}/in", maxFilesPerTrigger="1"))
+    good = split_rejects(decoded)[0]
+    query = run(detect.start_detection(good, settings))
+    # The late transfer is dropped where it would touch its pane, once and not once for each window.
+    assert sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]) == 1
+    run(detect.start_archive(decoded, settings))
+    on_time = detect.stored_transfers(spark, settings).select(*TRANSFER.fieldNames()).filter("tx_id <> 't500'")
+    closed = F.col("window.end") <= F.lit(T0 + dt.timedelta(seconds=250))  # the last transfer on time, minus the watermark
+    batch = store.sent_rows(without_model(apply_rules(pair_windows(on_time).filter(closed))))
+    columns = [c for c in batch.columns if c not in ("amount_usd", "gas_fee", "z_score")] + [
+        F.round(c, 8).alias(c) for c in ("amount_usd", "gas_fee", "z_score")]
+    stored = detect.stored_edges(spark, settings).select(*columns)
+    expected = batch.select(*columns)
+    assert stored.count() == expected.count() > 0 and stored.exceptAll(expected).isEmpty()
