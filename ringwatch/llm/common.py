@@ -60,12 +60,31 @@ def folded(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def passing(docs: DataFrame, keep: Callable[[list[str | None]], list[bool]]) -> DataFrame:
-    """The rows whose texts ``keep`` accepts, with all their columns; decided row by row, whatever the ids."""
+#: Bytes of an Arrow batch that is turned into Python objects at a time.
+SLICE_BYTES = 1 << 20
+
+
+def sliced(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes, so that a worker holds few rows as Python objects at once.
+
+    A row that is longer than that is a slice of its own.
+    """
+    for batch in batches:
+        rows = max(1, batch.num_rows * most // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def passing(docs: DataFrame, make: Callable[[], Callable[[list[str | None]], list[bool]]]) -> DataFrame:
+    """The rows whose texts a test accepts, with all their columns; decided row by row, whatever the ids.
+
+    ``make`` gives the test, once for each task.
+    """
     at = list(docs.columns).index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        keep = make()
+        for batch in sliced(batches):
             yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
 
     numbered = docs.toDF(*[f"__c{i}" for i in range(len(docs.columns))])

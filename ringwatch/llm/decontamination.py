@@ -197,5 +197,5 @@ def without_matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, w
     """The documents without any window that reaches ``least`` against an item."""
     for block in _blocks(benchmark):
         known = Benchmark(block, width)
-        docs = passing(docs, lambda texts, known=known: [not known.matches(t, least) for t in texts])
+        docs = passing(docs, lambda known=known: lambda texts: [not known.matches(t, least) for t in texts])
     return docs

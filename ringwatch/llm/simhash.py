@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringwatch.llm.common import batch_of, cut, folded, longs, mapped, pick, with_rows
+from ringwatch.llm.common import batch_of, cut, folded, longs, mapped, pick, sliced, with_rows
 from ringwatch.llm.components import components
 
 #: Residents of a shard, of a leaf, and the sample the top tree is fitted on.
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, width: int = 3, bits: int = 64, key: str = "do
     """``key``, fp (bits / 8 bytes), size (number of shingles) of each document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             hashes = [shingle_hashes(t, width) for t in batch.column("text").to_pylist()]
             yield batch_of(
                 doc_id=batch.column("doc_id"), fp=pa.array([fingerprint(h, bits) for h in hashes], pa.binary()),

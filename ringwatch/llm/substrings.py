@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringwatch.llm.common import batch_of, cut, longs, mapped, pick, words
+from ringwatch.llm.common import batch_of, cut, longs, mapped, pick, sliced, words
 
 WIDTH = 35
 PREFIX = 8
@@ -73,7 +73,7 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
-        for batch in batches:
+        for batch in sliced(batches):
             counts, digests, found = [], [], []
             for text in batch.column("text").to_pylist():
                 own = words(text)
@@ -144,7 +144,7 @@ def _tree_spans(grouped: DataFrame, width: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        for batch in batches:
+        for batch in sliced(batches):
             if not batch.num_rows:
                 continue
             rows = pa.Table.from_batches([batch])
@@ -184,7 +184,7 @@ def repeats(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame,
     texts = cut(texts.join(wanted, "key").filter(F.col("doc_id").eqNullSafe(F.col("lead"))).select("key", "text", "anchors"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for key, text, own in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "anchors"))):
                 all_words = words(text)
                 yield batch_of(
@@ -193,7 +193,7 @@ def repeats(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame,
                     context=pa.array([b" ".join(all_words[a["first"]:a["first"] + a["windows"] - 1 + width]) for a in own], pa.binary()))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for key, text, own in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "anchors"))):
                 all_words = words(text)
                 nodes: dict[bytes, list[int]] = {}
@@ -236,7 +236,7 @@ def _kept(found: DataFrame) -> DataFrame:
     word = re.compile(rb"[^\x20\x09-\x0d]+")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             removed, digests, kept = [], [], []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 own, raw = words(text), text.encode()

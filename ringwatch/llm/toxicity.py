@@ -16,7 +16,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +32,8 @@ TRAIN_CHARS = 20_000
 BUCKETS = 1 << 17
 #: Words remembered per worker; the memo starts anew beyond that.
 MEMO_WORDS = 1_000_000
+#: Words remembered from one slice of texts to the next while a stage filters.
+FILTER_WORDS = 200_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -184,8 +186,14 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """The documents whose score stays below the threshold."""
 
-    def keep(texts: list[str | None]) -> list[bool]:
+    def make() -> Callable[[list[str | None]], list[bool]]:
         scorer = Scorer(model)
-        return [scorer(t) < threshold for t in texts]
 
-    return passing(docs, keep)
+        def keep(texts: list[str | None]) -> list[bool]:
+            if len(scorer.memo) > FILTER_WORDS:
+                scorer.memo.clear()
+            return [scorer(t) < threshold for t in texts]
+
+        return keep
+
+    return passing(docs, make)
