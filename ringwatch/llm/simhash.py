@@ -322,7 +322,8 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, width: int = 5, radius: int = 44, bits: int = 256, ratio: float = 0.8) -> DataFrame:
-    """The documents with one of each component: the one of the smallest id.
+    """The documents with one of each component: the one of the smallest id. Fingerprints alone decide here;
+    ``near.one_of_each`` verifies every link by the exact similarity.
 
     With the default of 256 bits, two sets of shingles of similarity J differ in about 256 / pi * acos(2 J / (1 + J))
     bits: 39 for 0.8, with a deviation of 6, and 128 with a deviation of 8 for unrelated texts.
