@@ -64,14 +64,11 @@ def test_order_depends_on_the_seed_and_is_uniform(spark):
 
 def test_inside_a_bucket_every_order_is_as_likely(spark):
     docs = spark.range(0, 3, 1, 1).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
-    rows = [sharding.shuffled(docs, 1, seed).withColumn("seed", F.lit(seed)) for seed in range(120)]
-    from functools import reduce
-    got = reduce(lambda a, b: a.unionByName(b), rows).select("seed", "slot", "record.doc_id").collect()
-    orders = collections.defaultdict(dict)
-    for r in got:
-        orders[r["seed"]][r["slot"]] = r["doc_id"]
-    seen = collections.Counter(tuple(o[i] for i in range(3)) for o in orders.values())
-    assert len(seen) == 6 and min(seen.values()) >= 6
+    seen = collections.Counter()
+    for seed in range(36):
+        rows = sorted(sharding.shuffled(docs, 1, seed).select("slot", "record.doc_id").collect())
+        seen[tuple(r["doc_id"] for r in rows)] += 1
+    assert len(seen) == 6 and max(seen.values()) <= 16
 
 
 def test_written_shards_are_read_back_in_slot_order(spark, fresh_dir):
