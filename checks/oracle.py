@@ -550,6 +550,7 @@ SELECT 'active' AS status, sum(groups_updated)::bigint AS total_processed, sum(a
   (SELECT sum(tx_count)::bigint FROM last) AS recent_total_tx_count
 FROM batches""",
     "recent_batch_rows": VERSIONS + f" SELECT {_edge_cols(', batch_id')} FROM recent",
+    "metrics_recent_records": VERSIONS + f" SELECT {_edge_cols(', batch_id')} FROM recent ORDER BY window_start, wallet_address, to_wallet LIMIT 20",
     "stream_detection": f"{WIN} SELECT {_edge_cols()} FROM win_judged",
     "stream_detection_final": f"{WIN} SELECT {_edge_cols()} FROM win_judged",
     "stream_detection_scored": SCORED + """

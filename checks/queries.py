@@ -211,6 +211,13 @@ def metrics_summary(spark, d):
     return views.metrics_summary(views.batch_metrics(sent), views.last_batch(sent)).drop("recent_records")
 
 
+def metrics_recent_records(spark, d):
+    """The rows that the summary lists, taken out of it."""
+    sent = _versions(spark, d)
+    summary = views.metrics_summary(views.batch_metrics(sent), views.last_batch(sent))
+    return _edge_columns(summary.select(F.inline("recent_records")), "batch_id")
+
+
 def recent_batch_rows(spark, d):
     return _edge_columns(views.recent_rows(_versions(spark, d)), "batch_id")
 
@@ -632,6 +639,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "edge_latest": edge_latest,
     "batch_metrics": batch_metrics,
     "metrics_summary": metrics_summary,
+    "metrics_recent_records": metrics_recent_records,
     "recent_batch_rows": recent_batch_rows,
     "stream_detection": stream_detection,
     "stream_detection_final": stream_detection_final,

@@ -37,7 +37,7 @@ def metrics_summary(metrics: DataFrame, recent: DataFrame) -> DataFrame:
     """Running totals, the last batch's values, and what its recent rows add up to.
 
     Totals come from one row per batch, so a batch written twice counts once. ``recent`` is the whole last
-    batch; besides its sums, the summary lists its first ``SHOWN_ROWS`` rows.
+    batch; besides its sums, the summary lists its first ``SHOWN_ROWS`` rows with all their columns.
     """
     total = metrics.agg(
         F.coalesce(F.max_by("status", "batch_id"), F.lit("initializing")).alias("status"),
@@ -46,8 +46,8 @@ def metrics_summary(metrics: DataFrame, recent: DataFrame) -> DataFrame:
         F.max("batch_id").alias("last_batch_id"),
         F.coalesce(F.max_by("avg_z_score", "batch_id"), F.lit(0.0)).alias("avg_z_score"))
     keys = ["window_start", "wallet_address", "to_wallet", "tx_id"]
-    rows = recent.select(*keys).orderBy(*keys).limit(SHOWN_ROWS).agg(
-        F.sort_array(F.collect_list(F.struct(*keys)))).scalar()
+    columns = [*keys, *[c for c in recent.columns if c not in keys]]
+    rows = recent.orderBy(*keys).limit(SHOWN_ROWS).agg(F.sort_array(F.collect_list(F.struct(*columns)))).scalar()
     shown = recent.agg(F.struct(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.round(F.sum(F.coalesce("gas_fee", F.lit(0.0))) / F.greatest(F.count(F.lit(1)), F.lit(1)), 4),
