@@ -580,6 +580,8 @@ FROM win w LEFT JOIN context c ON w.wallet_address = c.wallet_address""",
     "training_features": _with(EVENTS, _grouped(_windows("win")), CONTEXT, FEATURES) + " SELECT * FROM features",
     "forest_nodes": MODEL + " SELECT tree, node, feature, round(split, 6) AS split, size, depth FROM forest",
     "forest_scores": SCORED + """
+SELECT wallet_address, to_wallet, window_start, round(raw_score, 6) AS raw_score FROM scored""",
+    "forest_reloaded": SCORED + """
 SELECT wallet_address, to_wallet, window_start, round(raw_score, 6) AS raw_score FROM scored""",
     "score_cutoff": f"SELECT round(quantile_cont(value, {FOREST.contamination}), 6) AS cutoff FROM events",
     "forest_summary": SCORED + """
@@ -657,6 +659,12 @@ SELECT window_start, wallet_address, to_wallet, true_label, (true_label <> 'norm
 FROM win_judged WHERE true_label IS NOT NULL {_NEWEST} LIMIT 2000""",
     "window_report": _with(WINDOW_CELLS, REPORT) + _REPORT_OUT,
     "window_report_scored": SCORED + "," + SCORED_CELLS + "," + REPORT + _REPORT_OUT,
+    "report_written": _with(WINDOW_CELLS, REPORT) + _REPORT_OUT + """
+UNION ALL SELECT 'truth', true_label, 'count', count(*)::double FROM win GROUP BY 2""",
+    "floor_amounts": "SELECT 'tx' || event_id AS tx_id, greatest(value, 100.0) AS amount_usd FROM events",
+    "default_times": """
+SELECT 'tx' || event_id AS tx_id, CASE WHEN event_id % 3 = 0 THEN 'now' ELSE left(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), 23) END AS timestamp
+FROM events""",
     "transfer_report": SCORED + "," + TRANSFER_CELLS + "," + REPORT + _REPORT_OUT,
     "label_counts": f"{WIN} SELECT true_label, count(*) AS n FROM win GROUP BY 1",
 }

@@ -29,7 +29,7 @@ from ringwatch.plans.refresh import refresh_graph
 from ringwatch.schema import TRANSFER
 from ringwatch.session import cut, scratch_path
 from ringwatch.sources import profiles, tables
-from ringwatch.sources.transfers import decode, read_stream, split_rejects, with_reject_reason
+from ringwatch.sources.transfers import decode, floor_amounts, read_stream, split_rejects, with_reject_reason
 from ringwatch.streaming import detect
 
 # The given events are about four minutes apart: windows and thresholds are scaled to them.
@@ -121,6 +121,21 @@ def json_decode(spark, d):
         _text("timestamp", "yyyy-MM-dd HH:mm:ss.SSS"))
 
 
+def floor_amounts_query(spark, d):
+    return floor_amounts(tables.event_transfers(spark, d), 100.0).select("tx_id", "amount_usd")
+
+
+def default_times(spark, d):
+    """Messages without a time, which get the time of reading."""
+    payloads = tables.table(spark, d, "events").select(F.concat(
+        F.lit('{"tx_id":"tx'), "event_id", F.lit('","wallet_address":"w'), "user_id", F.lit('","to_wallet":"c"'),
+        F.when(F.col("event_id") % 3 == 0, "").otherwise(F.concat(
+            F.lit(',"timestamp":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit('+00:00"'))), F.lit("}")).alias("value"))
+    decoded = decode(payloads)
+    late = F.col("timestamp") > F.current_timestamp() - F.expr("INTERVAL 1 HOUR")
+    return decoded.select("tx_id", F.when(late, "now").otherwise(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSS")).alias("timestamp"))
+
+
 def reject_counts(spark, d):
     return views.value_counts(with_reject_reason(decode(_payloads(spark, d))), "reject_reason")
 
@@ -351,6 +366,15 @@ def forest_scores(spark, d):
     return _scored(spark, d).select(*store.EDGE_KEY, _r(F.col("ml_score") + offset, "raw_score"))
 
 
+def forest_reloaded(spark, d):
+    """Raw scores of the model after it was saved and loaded."""
+    rows, forest = _model(spark, d)
+    path = scratch_path(spark, "model")
+    forests.save(forest, path)
+    again = forests.load(spark, path)
+    return forests.score(rows, again).select(*store.EDGE_KEY, _r(F.col("ml_score") + again.offset, "raw_score"))
+
+
 def score_cutoff(spark, d):
     """The exact quantile that the contamination share sets, by narrowing down to few values."""
     value = exact_quantile(tables.event_transfers(spark, d), "amount_usd", FOREST.contamination, small=500)
@@ -610,6 +634,14 @@ def window_report_scored(spark, d):
     return ev.evaluate(edges)[2].withColumn("value", F.round("value", 6))
 
 
+def report_written(spark, d):
+    """The report with its label counts as it is read back from the JSON sink."""
+    path = scratch_path(spark, "report")
+    ev.write_report(_window_edges(spark, d), path)
+    return spark.read.schema("detector string, class string, metric string, value double").json(path).withColumn(
+        "value", F.round("value", 6))
+
+
 def transfer_report(spark, d):
     """Rules, model and both against the labels of all transfers, each judged by the windows that cover it."""
     marked = _judged(spark, d).select(*store.EDGE_KEY, "rule_reason")
@@ -628,6 +660,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagged_windows": flagged_windows,
     "rule_reason_counts": rule_reason_counts,
     "json_decode": json_decode,
+    "floor_amounts": floor_amounts_query,
+    "default_times": default_times,
     "reject_counts": reject_counts,
     "profile_scan": profile_scan,
     "profile_upsert": profile_upsert,
@@ -652,6 +686,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "training_features": training_features,
     "forest_nodes": forest_nodes,
     "forest_scores": forest_scores,
+    "forest_reloaded": forest_reloaded,
     "score_cutoff": score_cutoff,
     "forest_summary": forest_summary,
     "ml_verdict": ml_verdict,
@@ -687,6 +722,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_labelled": latest_labelled,
     "window_report": window_report,
     "window_report_scored": window_report_scored,
+    "report_written": report_written,
     "transfer_report": transfer_report,
     "label_counts": label_counts,
 }
