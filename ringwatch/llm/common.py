@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ringwatch.session import cut, scratch_path  # noqa: F401  re-exported for the operators
+from ringwatch.session import cut, passing_tables, scratch_path  # noqa: F401  re-exported for the operators
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 

@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringwatch.config import BROADCAST_ROWS
 from ringwatch.llm.common import batch_of, cut, longs, mapped, pick, sliced, words
 
 WIDTH = 35
@@ -173,13 +174,19 @@ def repeats(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame,
     copies = cut(rows.groupBy("key").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "doc_id")).alias("lead")).select(
         "key", "copies", F.col("lead.row").alias("row"), F.col("lead.doc_id").alias("lead")))
-    leads = rows.filter(F.size("hashes") > 0).join(copies.select("key", "row", "lead"), ["key", "row"])
-    anchors = cut(leads.select("key", "lead", F.explode(F.arrays_zip("hashes", "firsts", "windows")).alias("a")).select(
-        "key", "lead", F.col("a.hashes").alias("prefix"), F.col("a.firsts").alias("first"), F.col("a.windows").alias("windows")))
+    # The lists of anchors stay where they are; only the numbers of the rows that are copies are brought to them.
+    others = cut(rows.select("key", F.col("row").alias("own")).join(copies.filter("copies > 1"), "key").filter("own <> row").select(
+        F.col("own").alias("row")))
+    few = others.count() <= BROADCAST_ROWS
+    leads = rows.filter(F.size("hashes") > 0).join(F.broadcast(others) if few else others, "row", "left_anti")
+    # The key comes back for the anchors that are left; till then a row is its number.
+    anchors = leads.select("row", F.explode(F.arrays_zip("hashes", "firsts", "windows")).alias("a")).select(
+        "row", F.col("a.hashes").alias("prefix"), F.col("a.firsts").alias("first"), F.col("a.windows").alias("windows"))
     # Written, so that the join that follows can split a prefix with very many suffixes.
     shared = cut(anchors.groupBy("prefix").agg(F.count(F.lit(1)).alias("suffixes")).filter("suffixes > 1"))
-    wanted = anchors.join(shared, "prefix").groupBy("key", "lead").agg(
-        F.collect_list(F.struct("prefix", "first", "windows", "suffixes")).alias("anchors"))  # of one text
+    wanted = anchors.join(shared, "prefix").groupBy("row").agg(
+        F.collect_list(F.struct("prefix", "first", "windows", "suffixes")).alias("anchors")).join(  # of one text
+        copies.select("row", "key", "lead"), "row").drop("row")
     texts = pick(docs, "doc_id", "text").withColumn("key", _key())
     texts = cut(texts.join(wanted, "key").filter(F.col("doc_id").eqNullSafe(F.col("lead"))).select("key", "text", "anchors"))
 
