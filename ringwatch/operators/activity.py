@@ -40,10 +40,17 @@ class ActivityStore:
                 self.spark.catalog.recoverPartitions(name)
         return name
 
+    def _width(self, name: str) -> int:
+        """Buckets of the table as it was made, whatever this store was told."""
+        told = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Num Buckets'").first()
+        return int(told["data_type"])
+
     def add(self, transfers: DataFrame, batch_id: int) -> None:
         """Count one batch of transfers with sender and receiver. Only the batch is read, and of the earlier ones their transfers' ids in place."""
         name = self._counted()
-        sends = transfers.groupBy("wallet_address", "tx_id").agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high"))
+        # Moved once, straight to the buckets: the sums per transfer and the join are made there.
+        placed = transfers.select("wallet_address", "tx_id", "timestamp").repartition(self._width(name), "wallet_address", "tx_id")
+        sends = placed.groupBy("wallet_address", "tx_id").agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high"))
         others = self.spark.table(name).filter(F.col("batch_id") != batch_id).select("wallet_address", "tx_id", F.lit(True).alias("known"))
         # Each transfer was new just once, so a match finds at most one row. A null id counts as no transfer.
         marked = cut(sends.join(others, ["wallet_address", "tx_id"], "left"))
