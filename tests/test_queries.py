@@ -28,6 +28,15 @@ def test_drawn_edges_build_no_graph(spark, monkeypatch):
     assert queries.draw_edges(spark, DATA).count() == 150
 
 
+def test_counts_of_wallets_need_no_ranks(spark, monkeypatch):
+    def never(*_):
+        raise AssertionError("no rank is shown")
+
+    queries.forget()
+    monkeypatch.setattr(queries, "_ranks", never)
+    assert queries.graph_summary(spark, DATA).first()["wallet_count"] == sum(r["n"] for r in queries.tier_counts(spark, DATA).collect())
+
+
 def test_a_batch_of_activity_moves_once(spark, fresh_dir, monkeypatch):
     joined = []
     monkeypatch.setattr(activity, "cut", lambda df: joined.append(plan(df)) or cut(df))
