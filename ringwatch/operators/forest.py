@@ -50,15 +50,15 @@ def feature_rows(rows: DataFrame, features: list[str]) -> DataFrame:
     return rows.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
 
 
-def training_features(sent: DataFrame, context: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Model inputs taken off stored edges and the senders' context, keyed by the edge."""
+def training_features(sent: DataFrame, context: DataFrame, max_rows: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Model inputs taken off stored edges and the senders' context, keyed by the edge; columns to ``keep`` go along."""
     from ringwatch.operators.enrich import enrich
     from ringwatch.operators.store import EDGE_KEY
 
     scores = context.select("wallet_address", "graph_risk_score", "structural_novelty_score")
     joined = enrich(sent, scores) if max_rows is None else enrich(sent, scores, max_rows)
     named = joined.withColumnRenamed("gas_fee", "avg_gas_fee")
-    return feature_rows(named, FEATURES).select(*EDGE_KEY, *FEATURES)
+    return feature_rows(named, FEATURES).select(*EDGE_KEY, *FEATURES, *keep)
 
 
 def sample_for_trees(rows: DataFrame, key: list[str], cfg: ForestConfig, n: int) -> DataFrame:

@@ -37,6 +37,16 @@ def test_counts_of_wallets_need_no_ranks(spark, monkeypatch):
     assert queries.graph_summary(spark, DATA).first()["wallet_count"] == sum(r["n"] for r in queries.tier_counts(spark, DATA).collect())
 
 
+def test_verdicts_need_no_second_pass_over_transfers(spark):
+    """What the rules said comes along with the model's inputs instead of being worked out and joined again."""
+    queries.forget()
+    text = plan(queries.ml_verdict(spark, DATA))
+    assert "Join" not in text and "events.parquet" not in text
+    # The transfers that are judged are read; the windows are not worked out of them again.
+    assert plan(queries.transfer_report(spark, DATA)).count("events.parquet") == 1
+    assert queries.training_features(spark, DATA).columns == [*queries.store.EDGE_KEY, *queries.FEATURES]
+
+
 def test_a_batch_of_activity_moves_once(spark, fresh_dir, monkeypatch):
     joined = []
     monkeypatch.setattr(activity, "cut", lambda df: joined.append(plan(df)) or cut(df))
