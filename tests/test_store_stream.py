@@ -271,3 +271,21 @@ def test_final_windows_are_stored_once_and_equal_the_batch(spark, fresh_dir):
     stored = detect.stored_edges(spark, settings).select(*columns)
     expected = batch.select(*columns)
     assert stored.count() == expected.count() > 0 and stored.exceptAll(expected).isEmpty()
+
+
+def test_windows_in_progress_lie_on_disk_whatever_the_session_says(spark, fresh_dir):
+    write_files(f"{fresh_dir}/in", FILES[:2])
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    own = spark.conf.get(provider)
+    heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(provider, heap)
+    try:
+        decoded = decode(read_stream(spark, "text", f"{fresh_dir}/in", maxFilesPerTrigger="1"))
+        settings = detect.Settings(f"{fresh_dir}/out", trigger={"availableNow": True})
+        query = run(detect.start_detection(split_rejects(decoded)[0], settings))
+        assert spark.conf.get(provider) == heap
+    finally:
+        spark.conf.set(provider, own)
+    states = [op for p in query.recentProgress for op in p["stateOperators"]]
+    assert states and all(any("rocksdb" in name for name in op["customMetrics"]) for op in states)
+    assert store.current_edges(detect.stored_edges(spark, settings)).filter("wallet_address = 'w1'").count() > 0
