@@ -18,13 +18,14 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringwatch.llm.common import batch_of, mapped, passing, pick
+from ringwatch.llm.common import batch_of, mapped, passing, pick, sliced
 
 #: Bounds of the training sample: labelled rows, and letters of a text that may be among them.
 TRAIN_ROWS = 3000
@@ -35,7 +36,12 @@ MEMO_WORDS = 1_000_000
 #: Words remembered from one slice of texts to the next while a stage filters.
 FILTER_WORDS = 200_000
 
+#: Words of one length, at most so long, whose n-grams are hashed together.
+TOGETHER, LETTERS = 4096, 48
+
 WORD = re.compile(r"[^\W\d_]+")
+#: The remainders of the 256 bytes by which a CRC-32 goes on.
+CRC = np.array([zlib.crc32(bytes([i])) ^ zlib.crc32(bytes([0])) for i in range(256)], np.uint32)
 
 
 def buckets(word: str) -> list[int]:
@@ -45,6 +51,40 @@ def buckets(word: str) -> list[int]:
     return [zlib.crc32(g.encode()) % BUCKETS for g in sorted(grams)]
 
 
+def _means(words: tuple[str, ...], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean weight of the n-grams of words of one length, and for which words it is not right: those that hold one twice."""
+    size = len(words[0]) + 2
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), np.uint32).reshape(len(words), size)
+    known, rank = np.unique(codes, return_inverse=True)
+    # Letters as numbers of 12 bits that order them, none being zero.
+    if len(known) > 4000:
+        return np.zeros(len(words)), np.ones(len(words), bool)
+    rank = rank.reshape(codes.shape).astype(np.uint64) + np.uint64(1)
+    n_bytes = 1 + (codes >= 0x80) + (codes >= 0x800).astype(np.int64) + (codes >= 0x10000)
+    most = int(n_bytes.max())
+    # The UTF-8 bytes of every letter; of the shorter ones those beyond their length are not used.
+    lead = np.array([0, 0, 0xC0, 0xE0, 0xF0], np.uint32)[n_bytes]
+    utf8 = [lead | codes >> (6 * (n_bytes - 1)).astype(np.uint32)] + [
+        np.uint32(0x80) | codes >> (6 * np.maximum(n_bytes - 1 - q, 0)).astype(np.uint32) & np.uint32(63) for q in range(1, most)]
+    keys, cells = [], []
+    for n in {*(n for n in (3, 4, 5) if n <= size), size}:
+        width = size - n + 1
+        rest, key = np.full((len(words), width), 0xFFFFFFFF, np.uint32), np.zeros((len(words), width), np.uint64)
+        for j in range(n):
+            for q in range(most):
+                gone_on = CRC[(rest ^ utf8[q][:, j:j + width]) & np.uint32(255)] ^ rest >> np.uint32(8)
+                rest = np.where(n_bytes[:, j:j + width] > q, gone_on, rest) if q else gone_on
+            if j < 5:
+                key |= rank[:, j:j + width] << np.uint64(52 - 12 * j)
+        # The word as a whole follows its own first five letters.
+        keys.append(key + np.uint64(n > 5))
+        cells.append(~rest % np.uint32(BUCKETS))
+    key = np.concatenate(keys, 1)
+    order = np.argsort(key, axis=1, kind="stable")
+    key, cell = np.take_along_axis(key, order, 1), np.take_along_axis(np.concatenate(cells, 1), order, 1)
+    return np.ascontiguousarray(weight[cell]).mean(axis=1), (key[:, 1:] == key[:, :-1]).any(1)
+
+
 @dataclass(frozen=True)
 class Model:
     weight: np.ndarray  # what a hashed n-gram adds to the difference of the two classes
@@ -53,6 +93,21 @@ class Model:
     def word(self, word: str) -> float:
         return float(self.weight[buckets(word)].mean())
 
+    def words(self, words: list[str]) -> list[float]:
+        """As ``word`` for each, to the last bit: words of a length are hashed together, the few that are left one by one."""
+        out: dict[str, float] = {}
+        alike: dict[tuple[int, bool], list[str]] = {}
+        for w in words:
+            if len(w) <= LETTERS:
+                alike.setdefault((len(w), w.isascii()), []).append(w)
+        for group in alike.values():
+            for some in batched(group, TOGETHER):
+                values, twice = _means(some, self.weight)
+                out.update(zip(some, values.tolist()))
+                for i in np.flatnonzero(twice).tolist():
+                    del out[some[i]]
+        return [out[w] if w in out else self.word(w) for w in words]
+
     def score(self, values: list[float]) -> float:
         z = self.bias + (sum(values) / len(values) if values else 0.0)
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
@@ -149,22 +204,18 @@ def held_out(doc_id: object) -> object:
 
 
 class Scorer:
-    """Scores texts with one number remembered per word."""
+    """Scores texts with one number remembered per word; those of words not met before are worked out together."""
 
     def __init__(self, model: Model):
         self.model, self.memo = model, {}
 
-    def __call__(self, text: str | None) -> float:
-        own, memo = WORD.findall((text or "").lower()), self.memo
-        try:
-            return self.model.score([memo[w] for w in own])
-        except KeyError:
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-            for w in set(own):
-                if w not in memo:
-                    memo[w] = self.model.word(w)
-            return self.model.score([memo[w] for w in own])
+    def __call__(self, texts: list[str | None]) -> list[float]:
+        own, memo = [WORD.findall((t or "").lower()) for t in texts], self.memo
+        if len(memo) > MEMO_WORDS:
+            memo.clear()
+        new = [w for w in set().union(*own) if w not in memo]
+        memo.update(zip(new, self.model.words(new)))
+        return [self.model.score([memo[w] for w in o]) for o in own]
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
@@ -172,8 +223,8 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
-        for batch in batches:
-            scores = [scorer(t) for t in batch.column("text").to_pylist()]
+        for batch in sliced(batches):
+            scores = scorer(batch.column("text").to_pylist())
             yield batch_of(
                 doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), score=pa.array(scores, pa.float64()),
                 predicted=pa.array([int(s >= threshold) for s in scores], pa.int32()))
@@ -192,7 +243,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> Data
         def keep(texts: list[str | None]) -> list[bool]:
             if len(scorer.memo) > FILTER_WORDS:
                 scorer.memo.clear()
-            return [scorer(t) < threshold for t in texts]
+            return [s < threshold for s in scorer(texts)]
 
         return keep
 

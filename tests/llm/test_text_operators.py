@@ -321,3 +321,24 @@ def test_toxicity_sample_is_the_first_rows_by_hash_of_id(spark, monkeypatch):
         if i is not None and i < 50 and t is not None and len(t) <= toxicity.TRAIN_CHARS and zlib.crc32(str(i).encode()) % 3 != 1)
     for bound in (5, 13, 1000):
         assert toxicity.fit(docs, labels, bound) == [(t, y) for _, _, t, y in known[:bound]]
+
+
+def test_words_scored_together_weigh_what_each_weighs_alone(monkeypatch):
+    import random
+
+    import numpy as np
+
+    from ringwatch.llm import toxicity
+    rng = random.Random(3)
+    letters = "aäbcçdeéfghiłmnoñsßtuzжあ𝒷"
+    words = list({"".join(rng.choice(letters[:rng.choice((6, len(letters)))]) for _ in range(rng.randrange(1, 14))) for _ in range(3000)})
+    words += ["a", "aaaaaa", "banana", "x" * 60, "Ünder", "日本語", "b" * 48]
+    model = toxicity.Model(np.random.default_rng(0).normal(0, 1, toxicity.BUCKETS).astype(np.float32), 0.1)
+    expected, alone, plain = [model.word(w) for w in words], [], toxicity.Model.word
+    monkeypatch.setattr(toxicity.Model, "word", lambda self, w: alone.append(w) or plain(self, w))
+    assert model.words(words) == expected
+    # Only words that hold an n-gram twice, or are very long, are left to be hashed one by one.
+    assert 0 < len(alone) < len(words) / 10 and {"aaaaaa", "banana", "x" * 60} <= set(alone)
+    texts = ["banana ünder banana", None, "", "日本語 x1y", "123"]
+    scored = toxicity.Scorer(model)(texts)
+    assert scored == [model.score([plain(model, w) for w in toxicity.WORD.findall(t or "")]) for t in texts]
